@@ -135,6 +135,13 @@ extraction("extract_detail_7e", oracle.DETAIL_7E, inputs.details_7e, shop_pages.
 extraction("extract_card_makro", oracle.card_makro(), inputs.cards_makro, shop_pages.extract_card_makro)
 extraction("extract_price_makro", oracle.PRICE_MAKRO, inputs.details_makro, shop_pages.extract_price_makro)
 extraction("extract_tiers_makro", oracle.TIERS_MAKRO, inputs.details_makro, shop_pages.extract_tiers_makro)
+extraction(
+    "extract_product_makro",
+    "select p.*, t.condition from "
+    f"({oracle.PRICE_MAKRO}) p join ({oracle.TIERS_MAKRO}) t on p.url = t.url",
+    inputs.details_makro,
+    shop_pages.extract_product_makro,
+)
 extraction("extract_card_bigc", oracle.CARD_BIGC, inputs.cards_bigc, shop_pages.extract_card_bigc)
 extraction("extract_detail_bigc", oracle.DETAIL_BIGC, inputs.details_bigc, shop_pages.extract_detail_bigc)
 extraction(
@@ -165,8 +172,8 @@ def extract_badge_urls(spark, folder):
 
 
 _H1 = (
-    "trim(replace(replace(replace(replace(regexp_extract(html, '<h1>(.*?)</h1>', 1), "
-    "'&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&'))"
+    "trim(regexp_replace(replace(replace(replace(regexp_extract(html, '<h1>(.*?)</h1>', 1), "
+    "'&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;?', '&', 'g'))"
 )
 
 

@@ -19,6 +19,11 @@ def _first(texts: Column, keep) -> Column:
     return F.get(F.filter(texts, keep), F.lit(0))
 
 
+def _bind(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _names_units(text: Column) -> Column:
     return F.lower(text).contains("unit") & has_digit(text)
 
@@ -90,21 +95,24 @@ def quantity_tiers(texts: Column) -> Column:
     )
     anchor = F.nullif(F.array_position(headline, F.lit(True)), F.lit(0).cast("bigint"))
     block = F.slice(texts, (anchor + 1).cast("int"), TIER_WINDOW)
+    return _bind(block, lambda b: _bind(_tier_pairs(b), _tier_map))
+
+
+def _tier_pairs(block: Column) -> Column:
     labels = F.filter(block, _names_units)
-    amounts = F.filter(
-        F.transform(block, lambda t, i: F.when(
-            ~_names_units(t) & t.contains("฿"),
-            F.when(
-                (t == "฿") & (i + 1 < F.size(block)),
-                F.concat(F.lit("฿ "), F.get(block, i + 1)),
-            ).otherwise(t),
-        )),
-        lambda t: t.isNotNull(),
-    )
-    pairs = F.filter(
+    split_sign = F.transform(block, lambda t, i: F.when(
+        ~_names_units(t) & t.contains("฿"),
+        F.when((t == "฿") & (i + 1 < F.size(block)), F.concat(F.lit("฿ "), F.get(block, i + 1)))
+        .otherwise(t),
+    ))
+    amounts = F.filter(split_sign, lambda t: t.isNotNull())
+    return F.filter(
         F.arrays_zip(labels.alias("label"), amounts.alias("amount")),
         lambda p: p["label"].isNotNull() & p["amount"].isNotNull(),
     )
+
+
+def _tier_map(pairs: Column) -> Column:
     kept = F.array_distinct(F.transform(pairs, lambda p: p["label"]))
     last_amounts = F.transform(
         kept,

@@ -55,9 +55,8 @@ def makro_run(
 ) -> Tables:
     hold = _keeper(keep)
     catalogue = cleaning.consistent_schema(makro_catalogue(category_pages))
-    priced = _typed(shop_pages.extract_price_makro(product_pages), strict_double)
-    merged = joins.watchlist_merge(priced, shop_pages.extract_tiers_makro(product_pages))
-    watched = hold(cleaning.consistent_schema(merged), "makro-watchlist")
+    products = _typed(shop_pages.extract_product_makro(product_pages), strict_double)
+    watched = hold(cleaning.consistent_schema(products), "makro-watchlist")
     rows = hold(union_sources(catalogue, watched), "makro-rows")
     listing = cleaning.standardize(rows, "makro", run_date)
     return {

@@ -59,12 +59,25 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's own size estimate, from file or row sizes; nothing runs."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Spark's own size estimate lets it broadcast ``df``.
+    """Whether the size estimate lets Spark broadcast ``df``."""
+    conf = df.sparkSession._jsparkSession.sessionState().conf()
+    return estimated_bytes(df) <= conf.autoBroadcastJoinThreshold()
+
+
+def spread_small(df: DataFrame, *keys: str) -> DataFrame:
+    """Give a small input one task per core before work that is heavy per row.
 
-    The estimate is an upper bound taken from file or row sizes; nothing runs.
+    Scans cut large inputs into enough tasks by themselves; only inputs below
+    one file-open cost per core come in too few, and only those are shuffled.
     """
-    spark = df.sparkSession
-    limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= limit
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    conf = df.sparkSession._jsparkSession.sessionState().conf()
+    if estimated_bytes(df) >= cores * conf.filesOpenCostInBytes():
+        return df
+    return df.repartition(cores, *keys)

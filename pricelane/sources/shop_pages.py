@@ -36,6 +36,7 @@ from pricelane.operators.filters import (
     lotus_name_ok,
     tops_name_ok,
 )
+from pricelane.session import spread_small
 from pricelane.sources.html_tree import Element, HtmlTree
 
 # Where a row was found; unique per row and in the order of collection.
@@ -80,7 +81,7 @@ def walk_pages(
     wanted = pages.where(F.col("html").isNotNull()).select(
         *(F.col(n).cast(k).alias(n) for n, k in kept.items()), "html"
     )
-    return wanted.mapInArrow(walk, ddl)
+    return spread_small(wanted, "url", "page_no").mapInArrow(walk, ddl)
 
 
 def _result(rows: DataFrame, **columns: Column) -> DataFrame:
@@ -246,6 +247,31 @@ def extract_tiers_makro(pages: DataFrame) -> DataFrame:
     )
 
 
+def _product_makro_pieces(tree: HtmlTree):
+    priced, tiered = next(_price_makro_pieces(tree)), next(_tiers_makro_pieces(tree))
+    yield {"title": priced["title"], "lines": priced["lines"], "texts": tiered["texts"]}
+
+
+def extract_product_makro(pages: DataFrame) -> DataFrame:
+    """Prices and quantity tiers of product pages in one walk.
+
+    The same rows as joining ``extract_price_makro`` and ``extract_tiers_makro``
+    of one page set by address, without the second walk and the join.
+    """
+    rows = walk_pages(
+        pages, _product_makro_pieces, {"title": TEXT, "lines": TEXTS, "texts": TEXTS}
+    )
+    promotion, original = text_nodes.price_line_pair(F.col("lines"), F.col("title"))
+    tiers = text_nodes.tiers_json(text_nodes.quantity_tiers(F.col("texts")))
+    return _result(
+        rows,
+        name=F.col("title"),
+        promotion_text=promotion,
+        original_text=original,
+        condition=promos.sentinel_null(tiers),
+    )
+
+
 # -- Big C ------------------------------------------------------------------
 def _own_text(tree: HtmlTree, elements) -> str | None:
     """The first text that lies directly in one of the elements."""
