@@ -11,6 +11,9 @@ import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pricelane.functions.prices import price_from_text
+from pricelane.session import spread_small
+
 RUN_DATE = datetime.date(2025, 3, 3)
 CARDS_PER_PAGE = 50
 
@@ -47,6 +50,25 @@ LISTING = {
         "when 6 then 'cheaper' when 7 then '  ' else 'NEW' end"
     ),
 }
+# Price sightings: every order line saw its part at a price. A third of them lost
+# the name, so one placeholder name is very common.
+SIGHTINGS = {
+    "order_no": "l_orderkey",
+    "line_no": "l_linenumber",
+    "supplier": "l_suppkey",
+    "name": "case when l_orderkey%3=0 then 'Unknown' else name end",
+    "promotion_text": f"concat('฿ ',{_MONEY.format('l_extendedprice')})",
+    "original_text": (
+        "case when l_linenumber%2=0 then null "
+        f"else concat('฿',{_MONEY.format('l_extendedprice+100')}) end"
+    ),
+    "condition": "l_returnflag",
+}
+SIGHTING_ORDER = ("order_no", "line_no", "supplier", "promotion_text", "original_text", "condition")
+SIGHTINGS_SQL = (
+    "select " + ", ".join(f"{e} as {n}" for n, e in SIGHTINGS.items())
+    + " from lineitem join listing on l_partkey = seq"
+)
 LISTING_SQL = "select " + ", ".join(f"{e} as {n}" for n, e in LISTING.items()) + " from part"
 
 
@@ -59,6 +81,13 @@ def listing(spark: SparkSession, folder: str) -> DataFrame:
     return part.selectExpr(*(f"{e} as {n}" for n, e in LISTING.items()))
 
 
+def sightings(spark: SparkSession, folder: str) -> DataFrame:
+    lines = spread_small(table(spark, folder, "lineitem"))
+    named = listing(spark, folder).select("seq", "name")
+    joined = lines.join(named, F.col("l_partkey") == F.col("seq"))
+    return joined.selectExpr(*(f"{e} as {n}" for n, e in SIGHTINGS.items()))
+
+
 # -- pieces of markup ---------------------------------------------------------
 def _join(*parts: str | Column) -> Column:
     return F.concat(*(p if isinstance(p, Column) else F.lit(p) for p in parts))
@@ -345,8 +374,6 @@ def driver_pages(spark: SparkSession, folder: str) -> DataFrame:
 
 def price_rows(spark: SparkSession, folder: str) -> DataFrame:
     """The listing with prices read from its texts."""
-    from pricelane.functions.prices import price_from_text
-
     return listing(spark, folder).select(
         "seq",
         "name",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.inputs import LISTING_SQL, RUN_DATE
+from checks.inputs import LISTING_SQL, RUN_DATE, SIGHTINGS_SQL
 from pricelane.fixed_values import NAME_PROFILES, RETAILERS, THAI_BRANDS
 
 # Dates are compared as text.
@@ -141,6 +141,11 @@ FAMILY_ROWS = (
     "case when badge_text <> '  ' then badge_text end as condition from listing"
 )
 
+SIGHTING_PRICES = (
+    f"select order_no, line_no, supplier, name, {digits_price('promotion_text')} as promotion_price, "
+    f"{digits_price('original_text')} as original_price, condition from ({SIGHTINGS_SQL})"
+)
+
 LABEL = (
     "case when t like '%SAVE%' or t like '%ประหยัด%' then 'Supersave' "
     "when t like '%GET%' or t like '%แถม%' then case when n = '' then 'Buy 1 Get' "

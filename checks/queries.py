@@ -1030,3 +1030,50 @@ def all_retailers(spark, folder):
         pipeline_7e(spark, folder),
         pipeline_tops(spark, folder),
     )
+
+
+# -- the same operators over price sightings: many rows, one name on a third of them ----
+def sighting_prices(spark: SparkSession, folder: str) -> DataFrame:
+    return inputs.sightings(spark, folder).select(
+        "order_no", "line_no", "supplier", "name",
+        prices.price_from_text(F.col("promotion_text")).alias("promotion_price"),
+        prices.price_from_text(F.col("original_text")).alias("original_price"),
+        "condition",
+    )
+
+
+_SIGHTING_ORDER = ["order_no", "line_no", "supplier", "promotion_price", "original_price", "condition"]
+
+
+@check("sightings_standardize", on_listing(oracle.standard(oracle.SIGHTING_PRICES, "makro")))
+def sightings_standardize(spark, folder):
+    return cleaning.standardize(sighting_prices(spark, folder), "makro", RUN_DATE)
+
+
+@check(
+    "sightings_dedupe_first",
+    on_listing(
+        oracle.first_of(
+            oracle.SIGHTING_PRICES, "name",
+            "order_no, line_no, supplier, promotion_price, original_price nulls first, condition",
+        )
+    ),
+)
+def sightings_dedupe_first(spark, folder):
+    return dedupe.dedupe_first(sighting_prices(spark, folder), _SIGHTING_ORDER)
+
+
+@check(
+    "sightings_search_join",
+    on_listing(
+        oracle.searched(
+            "select name as product_name from listing where seq%7=0 union all select 'Unknown' "
+            "union all select 'No such item '||seq from listing where seq%7=0",
+            oracle.SIGHTING_PRICES,
+        )
+    ),
+)
+def sightings_search_join(spark, folder):
+    wanted = search_list(spark, folder, "name")
+    placeholder = table(spark, folder, "region").select(F.lit("Unknown").alias("product_name")).limit(1)
+    return joins.search_join(wanted.unionByName(placeholder), sighting_prices(spark, folder))

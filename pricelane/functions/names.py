@@ -9,9 +9,15 @@ from pricelane.fixed_values import GO_PRODUCT_ID, NAME_PROFILES, THAI_BRANDS, Na
 from pricelane.functions.text import first_group
 
 
-def _quantity_pattern(profile: NameProfile) -> str:
-    end = r"\b" if profile.word_end else ""
-    return rf"(?iU)({profile.number})\s*({profile.units}){end}"
+# Every pack notation starts with one of these; checking that first saves trying
+# all notations at every place of the name.
+_PACK_START = r"(?=[PTX\d(แ])"
+
+
+def _quantity(name: Column, rules: NameProfile) -> Column:
+    """The first number with its unit. Volume and unit both read this one match."""
+    end = r"\b" if rules.word_end else ""
+    return first_group(name, rf"(?iU)({rules.number})\s*({rules.units}){end}", 0)
 
 
 def brand_first_word(name: Column) -> Column:
@@ -30,7 +36,7 @@ def volume(name: Column, profile: str) -> Column:
     Shops with whole volumes get null for fractional text ("1.8 kg").
     """
     rules = NAME_PROFILES[profile]
-    digits = first_group(name, _quantity_pattern(rules), 1)
+    digits = F.regexp_extract(_quantity(name, rules), "(?U)^" + rules.number, 0)
     if "," in rules.number:
         digits = F.translate(digits, ",", "")
     if rules.whole_volume:
@@ -40,7 +46,7 @@ def volume(name: Column, profile: str) -> Column:
 
 def unit(name: Column, profile: str) -> Column:
     rules = NAME_PROFILES[profile]
-    found = first_group(name, _quantity_pattern(rules), 2)
+    found = F.regexp_replace(_quantity(name, rules), r"(?U)^[\d.,]+\s*", "")
     if rules.unit_case == "upper":
         return F.upper(found)
     if rules.unit_case == "lower":
@@ -50,7 +56,7 @@ def unit(name: Column, profile: str) -> Column:
 
 def pack(name: Column, profile: str) -> Column:
     forms = NAME_PROFILES[profile].pack_forms
-    return F.upper(first_group(name, "(?iU)(" + "|".join(forms) + ")"))
+    return F.upper(first_group(name, "(?iU)" + _PACK_START + "(" + "|".join(forms) + ")"))
 
 
 def go_product_id(name: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +25,8 @@ def read_watchlist(spark: SparkSession, path: str) -> DataFrame:
 
 
 def search_names(spark: SparkSession, names: list[str]) -> DataFrame:
-    return spark.createDataFrame([(n,) for n in names], "product_name string")
+    """Names to search for, as a local table whose size the optimizer knows."""
+    return spark.createDataFrame(pa.table({"product_name": pa.array(names, pa.string())}))
 
 
 def read_items(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
