@@ -253,8 +253,9 @@ def anchor_price_lines(spark, folder):
     coded = F.when(F.col("seq") % 2 == 0, F.lit("Item Code: 7")).otherwise("no number")
     lines = compact(F.array(F.lit("55"), F.col("name"), F.lit("66"), F.col("name"), coded,
                             F.lit("each"), F.col("promotion_text"), F.col("original_text")))
-    promotion, original = text_nodes.price_line_pair(lines, F.col("name"))
-    return listing(spark, folder).select(
+    promotion, original = text_nodes.price_line_pair(F.col("found"))
+    rows = listing(spark, folder).withColumn("found", text_nodes.price_lines(lines, F.col("name")))
+    return rows.select(
         "seq", promotion.alias("promotion_text"), original.alias("original_text")
     )
 

@@ -6,7 +6,7 @@ Unicode ones: shop names mix Thai and Latin text and use no-break spaces.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,9 +15,21 @@ from pyspark.sql import functions as F
 PLAIN_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
 
 
+# All Unicode white space, the no-break kinds included.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once per row, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def strip_ws(text: Column) -> Column:
     """Text without leading and trailing white space of any kind."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+\z", "")
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
 def none_if_empty(text: Column) -> Column:

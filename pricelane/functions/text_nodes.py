@@ -12,30 +12,37 @@ from pricelane.fixed_values import (
     PRICE_RANGE,
     TIER_WINDOW,
 )
-from pricelane.functions.text import contains_any, has_digit, strip_ws
+from pricelane.functions.text import bind, contains_any, has_digit, strip_ws
 
 
 def _first(texts: Column, keep) -> Column:
     return F.get(F.filter(texts, keep), F.lit(0))
 
 
-def _bind(value: Column, use) -> Column:
-    """``use(value)`` with the value computed once, however often it is used."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+def _first_position(texts: Column, keep) -> Column:
+    """1-based place of the first text that fits, null when none does."""
+    place = F.array_position(F.transform(texts, keep), F.lit(True))
+    return bind(place, lambda p: F.when(p > 0, p))
+
+
+def _after(texts: Column, anchor: Column, count: int) -> Column:
+    return F.slice(texts, (anchor + 1).cast("int"), count)
 
 
 def _names_units(text: Column) -> Column:
     return F.lower(text).contains("unit") & has_digit(text)
 
 
+def _bare(text: Column) -> Column:
+    """Text without baht signs, thousands commas and outer white space."""
+    return strip_ws(F.translate(text, "฿,", ""))
+
+
 def _number(text: Column) -> Column:
     """A number the way a lenient reader takes it: "_" may group digits, Thai digits count."""
     plain = r"(?U)^[+-]?(\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)([eE][+-]?\d+(_\d+)*)?\z"
-    return F.when(text.rlike(plain), _latin_digits(text).try_cast("double"))
-
-
-def _latin_digits(text: Column) -> Column:
-    return F.translate(text, "๐๑๒๓๔๕๖๗๘๙_", "0123456789")
+    latin = F.translate(text, "๐๑๒๓๔๕๖๗๘๙_", "0123456789")
+    return F.when(text.rlike(plain), latin.try_cast("double"))
 
 
 def texts_name(texts: Column) -> Column:
@@ -52,8 +59,10 @@ def texts_name(texts: Column) -> Column:
 def texts_prices(texts: Column) -> Column:
     """All numbers in the price range, in page order."""
     low, high = PRICE_RANGE
-    candidates = F.filter(texts, lambda t: ~contains_any(F.lower(t), NOT_A_PRICE_WORDS))
-    numbers = F.transform(candidates, lambda t: _number(strip_ws(F.translate(t, "฿,", ""))))
+    candidates = F.filter(
+        texts, lambda t: has_digit(t) & ~contains_any(F.lower(t), NOT_A_PRICE_WORDS)
+    )
+    numbers = F.transform(candidates, lambda t: bind(_bare(t), _number))
     return F.filter(numbers, lambda v: (v > low) & (v < high))
 
 
@@ -64,21 +73,16 @@ def texts_condition(texts: Column, tagged: Column) -> Column:
 
 def price_lines(lines: Column, name: Column) -> Column:
     """Number lines shortly after the product code, else after the name's last line."""
-    coded = F.array_position(
-        F.transform(lines, lambda t: t.contains("Code :") | t.contains("Code:")), F.lit(True)
-    )
+    coded = _first_position(lines, lambda t: t.contains("Code :") | t.contains("Code:"))
     named = F.array_max(
         F.transform(lines, lambda t, i: F.when((name != "") & t.contains(name), i + 1))
     )
-    anchor = F.coalesce(F.nullif(coded, F.lit(0).cast("bigint")), named.cast("bigint"))
-    window = F.slice(lines, (anchor + 1).cast("int"), PRICE_LINE_WINDOW)
-    cleaned = F.transform(window, lambda t: strip_ws(F.translate(t, "฿,", "")))
-    return F.filter(cleaned, lambda t: t.rlike(r"(?U)^\d+(\.\d+)?\z"))
+    window = _after(lines, F.coalesce(coded, named.cast("bigint")), PRICE_LINE_WINDOW)
+    return F.filter(F.transform(window, _bare), lambda t: t.rlike(r"(?U)^\d+(\.\d+)?\z"))
 
 
-def price_line_pair(lines: Column, name: Column) -> tuple[Column, Column]:
-    """(promotion, original) texts: two lines give both, one line counts twice."""
-    found = price_lines(lines, name)
+def price_line_pair(found: Column) -> tuple[Column, Column]:
+    """(promotion, original) of found price lines: a single line counts twice."""
     first = F.get(found, F.lit(0))
     return first, F.coalesce(F.get(found, F.lit(1)), first)
 
@@ -89,19 +93,17 @@ def quantity_tiers(texts: Column) -> Column:
     Labels and prices pair up in order; a repeated label keeps its last price
     and its first place.
     """
-    headline = F.transform(
-        texts,
-        lambda t: F.lower(t).contains("buy more") & F.lower(t).contains("save more"),
+    anchor = _first_position(
+        texts, lambda t: F.lower(t).contains("buy more") & F.lower(t).contains("save more")
     )
-    anchor = F.nullif(F.array_position(headline, F.lit(True)), F.lit(0).cast("bigint"))
-    block = F.slice(texts, (anchor + 1).cast("int"), TIER_WINDOW)
-    return _bind(block, lambda b: _bind(_tier_pairs(b), _tier_map))
+    block = _after(texts, anchor, TIER_WINDOW)
+    return bind(block, lambda b: bind(_tier_pairs(b), _tier_map))
 
 
 def _tier_pairs(block: Column) -> Column:
     labels = F.filter(block, _names_units)
     split_sign = F.transform(block, lambda t, i: F.when(
-        ~_names_units(t) & t.contains("฿"),
+        t.contains("฿") & ~_names_units(t),
         F.when((t == "฿") & (i + 1 < F.size(block)), F.concat(F.lit("฿ "), F.get(block, i + 1)))
         .otherwise(t),
     ))
@@ -113,23 +115,23 @@ def _tier_pairs(block: Column) -> Column:
 
 
 def _tier_map(pairs: Column) -> Column:
+    def last_amount(label: Column) -> Column:
+        return F.element_at(F.filter(pairs, lambda p: p["label"] == label), -1)["amount"]
+
     kept = F.array_distinct(F.transform(pairs, lambda p: p["label"]))
-    last_amounts = F.transform(
-        kept,
-        lambda k: F.element_at(F.filter(pairs, lambda p: p["label"] == k), -1)["amount"],
-    )
-    return F.map_from_arrays(kept, last_amounts)
+    return bind(kept, lambda k: F.map_from_arrays(k, F.transform(k, last_amount)))
 
 
 def tiers_json(tiers: Column) -> Column:
     """The tier map as JSON text with ", " and ": " separators; no tiers gives "{}"."""
     def quoted(text: Column) -> Column:
         listed = F.to_json(F.array(text))
-        return F.substring(listed, F.lit(2), F.length(listed) - 2)
+        return bind(listed, lambda t: F.substring(t, F.lit(2), F.length(t) - 2))
 
     members = F.transform(
         F.map_entries(tiers),
         lambda e: F.concat(quoted(e["key"]), F.lit(": "), quoted(e["value"])),
     )
-    body = F.coalesce(F.array_join(members, ", "), F.lit(""))
-    return F.when(body == "", NO_TIERS).otherwise(F.concat(F.lit("{"), body, F.lit("}")))
+    inner = F.coalesce(F.array_join(members, ", "), F.lit(""))
+    empty = NO_TIERS
+    return F.concat(F.lit(empty[0]), inner, F.lit(empty[1]))

@@ -88,6 +88,15 @@ def _result(rows: DataFrame, **columns: Column) -> DataFrame:
     return rows.select(*SCRAPE_ORDER, *(c.alias(n) for n, c in columns.items()))
 
 
+def _kept(rows: DataFrame, keep: Callable[[Column], Column], **columns: Column) -> DataFrame:
+    """Rows with these columns for which ``keep`` holds, each column computed once.
+
+    A plain filter would move below the projection and compute them again.
+    """
+    row = F.struct(*(c.alias(n) for n, c in columns.items()))
+    return rows.select(*SCRAPE_ORDER, F.inline(F.filter(F.array(row), keep)))
+
+
 def _tag(*tags: str) -> Callable[[Element], bool]:
     return lambda e: e.tag in tags
 
@@ -196,19 +205,19 @@ def _card_makro_pieces(tree: HtmlTree):
 def extract_card_makro(pages: DataFrame) -> DataFrame:
     rows = walk_pages(pages, _card_makro_pieces, {"texts": TEXTS, "offer": TEXT})
     texts = F.col("texts")
-    return (
-        rows.where(F.size(texts) >= 3)
-        .withColumn("prices", text_nodes.texts_prices(texts))
-        .transform(
-            lambda found: _result(
-                found.where(F.size("prices") > 0),
-                name=text_nodes.texts_name(texts),
-                promotion_price=F.array_min("prices"),
-                original_price=F.array_max("prices"),
-                condition=text_nodes.texts_condition(texts, F.col("offer")),
-            )
-        )
-        .where(F.col("name").isNotNull())
+    found = _kept(
+        rows.where(F.size(texts) >= 3),
+        lambda card: card["name"].isNotNull() & (F.size(card["prices"]) > 0),
+        name=text_nodes.texts_name(texts),
+        prices=text_nodes.texts_prices(texts),
+        condition=text_nodes.texts_condition(texts, F.col("offer")),
+    )
+    return _result(
+        found,
+        name=F.col("name"),
+        promotion_price=F.array_min("prices"),
+        original_price=F.array_max("prices"),
+        condition=F.col("condition"),
     )
 
 
@@ -226,8 +235,14 @@ def _price_makro_pieces(tree: HtmlTree):
 
 def extract_price_makro(pages: DataFrame) -> DataFrame:
     rows = walk_pages(pages, _price_makro_pieces, {"title": TEXT, "lines": TEXTS})
-    promotion, original = text_nodes.price_line_pair(F.col("lines"), F.col("title"))
-    return _result(rows, name=F.col("title"), promotion_text=promotion, original_text=original)
+    found = text_nodes.price_lines(F.col("lines"), F.col("title"))
+    promotion, original = text_nodes.price_line_pair(F.col("found"))
+    return _result(
+        rows.withColumn("found", found),
+        name=F.col("title"),
+        promotion_text=promotion,
+        original_text=original,
+    )
 
 
 def _tiers_makro_pieces(tree: HtmlTree):
@@ -261,10 +276,11 @@ def extract_product_makro(pages: DataFrame) -> DataFrame:
     rows = walk_pages(
         pages, _product_makro_pieces, {"title": TEXT, "lines": TEXTS, "texts": TEXTS}
     )
-    promotion, original = text_nodes.price_line_pair(F.col("lines"), F.col("title"))
+    found = text_nodes.price_lines(F.col("lines"), F.col("title"))
+    promotion, original = text_nodes.price_line_pair(F.col("found"))
     tiers = text_nodes.tiers_json(text_nodes.quantity_tiers(F.col("texts")))
     return _result(
-        rows,
+        rows.withColumn("found", found),
         name=F.col("title"),
         promotion_text=promotion,
         original_text=original,
