@@ -72,8 +72,28 @@ SIGHTINGS_SQL = (
 LISTING_SQL = "select " + ", ".join(f"{e} as {n}" for n, e in LISTING.items()) + " from part"
 
 
+# With a schema given, opening a table needs no job of its own.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "part": (
+        "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+        "p_retailprice double"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+        "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+        "props string"
+    ),
+    "pages": "page_id bigint, url string, html string",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def listing(spark: SparkSession, folder: str) -> DataFrame:

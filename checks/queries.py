@@ -796,12 +796,13 @@ for _profile in RETAILERS:
     )
 
 
-def makro_tables(spark: SparkSession, folder: str) -> shops.Tables:
+def makro_tables(spark: SparkSession, folder: str, keep: bool = False) -> shops.Tables:
     return shops.makro_run(
         inputs.cards_makro(spark, folder, "family_name"),
         inputs.details_makro(spark, folder),
         search_list(spark, folder),
         RUN_DATE,
+        keep,
     )
 
 
@@ -843,16 +844,17 @@ def pipeline_makro_watchlist(spark, folder):
 
 @check("pipeline_makro_search", on_listing(oracle.searched(oracle.search_list(), _MAKRO_LISTING)))
 def pipeline_makro_search(spark, folder):
-    return makro_tables(spark, folder)["search"]
+    return makro_tables(spark, folder, keep=True)["search"]
 
 
-def bigc_tables(spark: SparkSession, folder: str) -> shops.Tables:
+def bigc_tables(spark: SparkSession, folder: str, keep: bool = False) -> shops.Tables:
     return shops.bigc_run(
         inputs.cards_bigc(spark, folder),
         inputs.details_bigc(spark, folder),
         inputs.badge_texts(spark, folder),
         search_list(spark, folder, "name"),
         RUN_DATE,
+        keep,
     )
 
 
@@ -883,10 +885,10 @@ def pipeline_bigc_watchlist(spark, folder):
     on_listing(oracle.searched(oracle.search_list("name"), _BIGC_WATCHED), labels=oracle.BADGE_LABELS),
 )
 def pipeline_bigc_search(spark, folder):
-    return bigc_tables(spark, folder)["search"]
+    return bigc_tables(spark, folder, keep=True)["search"]
 
 
-def lotus_tables(spark: SparkSession, folder: str) -> shops.Tables:
+def lotus_tables(spark: SparkSession, folder: str, keep: bool = False) -> shops.Tables:
     pages = inputs.details_lotus(spark, folder)
     return shops.lotus_run(
         inputs.cards_lotus(spark, folder, "family_name"),
@@ -894,6 +896,7 @@ def lotus_tables(spark: SparkSession, folder: str) -> shops.Tables:
         pages.select("url"),
         search_list(spark, folder, "name"),
         RUN_DATE,
+        keep,
     )
 
 
@@ -919,7 +922,7 @@ def pipeline_lotus_watchlist(spark, folder):
 
 @check("pipeline_lotus_search", on_listing(oracle.searched(oracle.search_list("name"), _LOTUS_WATCHED)))
 def pipeline_lotus_search(spark, folder):
-    return lotus_tables(spark, folder)["search"]
+    return lotus_tables(spark, folder, keep=True)["search"]
 
 
 _7E_WATCHED = oracle.typed(oracle.DETAIL_7E, oracle.digits_price)

@@ -67,8 +67,8 @@ def makro_run(
 
 
 def badge_labels(badge_texts: DataFrame) -> DataFrame:
-    """Label of each badge address; each distinct text is labelled once per address."""
-    texts = badge_texts.select("badge_url", "text").distinct()
+    """Label of each badge address; an address read more than once is labelled once."""
+    texts = badge_texts.groupBy("badge_url").agg(F.min("text").alias("text"))
     return texts.select("badge_url", promo_label(F.col("text")).alias("label"))
 
 

@@ -46,7 +46,9 @@ TEXT, TEXTS = "string", "array<string>"
 _ARROW = {
     TEXT: pa.string(), TEXTS: pa.list_(pa.string()), "int": pa.int32(), "boolean": pa.bool_()
 }
+# A batch goes back to Spark after so many rows, or after reading so much markup.
 _ROWS_PER_BATCH = 2000
+_CHARS_PER_BATCH = 32 << 20
 
 Pieces = Callable[[HtmlTree], Iterator[dict]]
 
@@ -56,6 +58,7 @@ def walk_pages(
 ) -> DataFrame:
     """Rows ``url_no, url, page_no, pos, <fields>`` that ``pieces`` finds in each page.
 
+    A page without markup, or with markup that no parser accepts, has no rows.
     ``flag`` names a boolean column of ``pages`` to keep next to them.
     """
     kept = {"url_no": "int", "url": "string", "page_no": "int"} | ({flag: "boolean"} if flag else {})
@@ -66,14 +69,20 @@ def walk_pages(
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[dict] = []
+        read = 0
         for batch in batches:
             for page in batch.to_pylist():
-                tree = HtmlTree(page.pop("html"))
+                html = page.pop("html")
+                try:
+                    tree = HtmlTree(html)
+                except AssertionError:  # markup the standard parser refuses
+                    continue
                 for pos, found in enumerate(pieces(tree)):
                     rows.append(page | {"pos": pos} | found)
-                if len(rows) >= _ROWS_PER_BATCH:
+                read += len(html)
+                if len(rows) >= _ROWS_PER_BATCH or read >= _CHARS_PER_BATCH:
                     yield pa.RecordBatch.from_pylist(rows, schema=schema)
-                    rows = []
+                    rows, read = [], 0
         if rows:
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 

@@ -135,6 +135,12 @@ def test_detail_tops_drops_challenges(spark, title):
     assert shop_pages.extract_detail_tops(pages(spark, f"<h1>{title}</h1>")).count() == 0
 
 
+def test_refused_markup_does_not_stop_the_job(spark):
+    refused = "<h1>Soap</h1><![nonsense x]]><p>y</p>"
+    got = rows_of(shop_pages.extract_heading(pages(spark, refused, "<h1>Next</h1>")), "h1")
+    assert got == [("Next",)]
+
+
 def test_markup_stays_out_of_results(spark):
     df = shop_pages.extract_card_lotus(pages(spark, "<p></p>"))
     assert df.columns == [
