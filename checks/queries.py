@@ -481,8 +481,7 @@ def select_canonical(spark, folder):
     "consistent_schema",
     on_listing(
         f"select name, {oracle.num('p')} as promotion_price, cast(seq as double) as original_price, "
-        "cast(seq as varchar) as condition from (select *, replace(promotion_text, '฿', '') as p from listing) "
-        "where p is null or p not like ' %'"
+        "cast(seq as varchar) as condition from (select *, replace(promotion_text, '฿', '') as p from listing)"
     ),
 )
 def consistent_schema(spark, folder):
@@ -492,8 +491,7 @@ def consistent_schema(spark, folder):
         F.col("seq").alias("original_price"),
         F.col("seq").alias("condition"),
     )
-    padded = F.col("promotion_price").startswith(" ")
-    return cleaning.consistent_schema(rows.where(~F.coalesce(padded, F.lit(False))))
+    return cleaning.consistent_schema(rows)
 
 
 # -- nested feeds -------------------------------------------------------------------
@@ -796,6 +794,30 @@ for _profile in RETAILERS:
     )
 
 
+_READERS = {
+    "7e": oracle.digits_price,
+    "makro": oracle.num,
+    "bigc": oracle.num,
+    "lotus": oracle.strip_price,
+    "tops": lambda x: oracle.num(f"replace(replace({x}, '฿', ''), ',', '')"),
+}
+for _profile in RETAILERS:
+    check(
+        f"standardize_raw_{_profile}",
+        on_listing(oracle.standard(
+            oracle.typed("select name, promotion_text, original_text, badge_text as condition from listing",
+                         _READERS[_profile]),
+            _profile,
+        )),
+    )(
+        lambda spark, folder, p=_profile: cleaning.standardize(
+            cleaning.read_prices(listing(spark, folder).withColumnRenamed("badge_text", "condition"), p),
+            p,
+            RUN_DATE,
+        )
+    )
+
+
 def makro_tables(spark: SparkSession, folder: str, keep: bool = False) -> shops.Tables:
     return shops.makro_run(
         inputs.cards_makro(spark, folder, "family_name"),

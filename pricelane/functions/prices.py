@@ -22,6 +22,11 @@ def price_strip_currency(text: Column) -> Column:
     return strict_double(strip_currency(text))
 
 
+def price_drop_currency(text: Column) -> Column:
+    """Like ``price_strip_currency``, but text with outer white space is no price."""
+    return strict_double(F.translate(text, "฿,", ""))
+
+
 def price_integer_strip(text: Column) -> Column:
     """Dong amounts: no decimals, dots and commas both group thousands."""
     return strip_ws(F.translate(text, "đ,.", "")).try_cast("bigint")

@@ -4,14 +4,32 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricelane.fixed_values import LISTING_COLUMNS, NAME_PROFILES, PRICE_COLUMNS, RETAILERS
 from pricelane.functions import names, prices
+from pricelane.functions.text import strict_double
 
 PROMOTION, ORIGINAL = "promotion_price", "original_price"
 
+# How each shop's price texts become numbers.
+PRICE_READERS = {
+    "7e": prices.price_from_text,
+    "makro": strict_double,
+    "bigc": strict_double,
+    "lotus": prices.price_strip_currency,
+    "tops": prices.price_drop_currency,
+}
+
+
+def read_prices(df: DataFrame, profile: str) -> DataFrame:
+    """Turn ``promotion_text`` and ``original_text`` into the two price columns."""
+    read = PRICE_READERS[profile]
+    return df.withColumns(
+        {PROMOTION: read(F.col("promotion_text")), ORIGINAL: read(F.col("original_text"))}
+    ).drop("promotion_text", "original_text")
+
 
 def reevaluate_price(df: DataFrame) -> DataFrame:
     """Fill a missing original price, then drop a promotion price equal to it."""
@@ -35,10 +53,16 @@ def with_discount_pct(df: DataFrame) -> DataFrame:
 
 def consistent_schema(df: DataFrame) -> DataFrame:
     """The four price columns with fixed types; unreadable numbers become null."""
+    kinds = dict(df.dtypes)
+
+    def number(column: str) -> Column:
+        value = F.col(column)
+        return strict_double(value) if kinds[column] == "string" else value.try_cast("double")
+
     return df.select(
         F.col("name").cast("string").alias("name"),
-        F.col(PROMOTION).try_cast("double").alias(PROMOTION),
-        F.col(ORIGINAL).try_cast("double").alias(ORIGINAL),
+        number(PROMOTION).alias(PROMOTION),
+        number(ORIGINAL).alias(ORIGINAL),
         F.col("condition").cast("string").alias("condition"),
     )
 

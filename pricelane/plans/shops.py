@@ -14,9 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricelane.fixed_values import LISTING_COLUMNS, PRICE_COLUMNS
-from pricelane.functions.prices import price_from_text
 from pricelane.functions.promos import promo_label
-from pricelane.functions.text import strict_double
 from pricelane.operators import cleaning, dedupe, joins, nested, summary
 from pricelane.operators.arranging import union_sources, union_toggle
 from pricelane.session import stored
@@ -30,16 +28,6 @@ def _keeper(keep: bool) -> Callable[[DataFrame, str], DataFrame]:
     return stored if keep else lambda df, label: df
 
 
-def _typed(rows: DataFrame, read: Callable) -> DataFrame:
-    """Price texts read as numbers under the standard column names."""
-    return rows.withColumns(
-        {
-            "promotion_price": read(F.col("promotion_text")),
-            "original_price": read(F.col("original_text")),
-        }
-    ).drop("promotion_text", "original_text")
-
-
 def makro_catalogue(pages: DataFrame) -> DataFrame:
     """First sighting of each name, sham original prices removed, with percent off."""
     cards = dedupe.dedupe_first(shop_pages.extract_card_makro(pages), SCRAPE_ORDER)
@@ -55,7 +43,7 @@ def makro_run(
 ) -> Tables:
     hold = _keeper(keep)
     catalogue = cleaning.consistent_schema(makro_catalogue(category_pages))
-    products = _typed(shop_pages.extract_product_makro(product_pages), strict_double)
+    products = cleaning.read_prices(shop_pages.extract_product_makro(product_pages), "makro")
     watched = hold(cleaning.consistent_schema(products), "makro-watchlist")
     rows = hold(union_sources(catalogue, watched), "makro-rows")
     listing = cleaning.standardize(rows, "makro", run_date)
@@ -84,7 +72,7 @@ def bigc_run(
     hold = _keeper(keep)
     labels = hold(badge_labels(badge_texts), "bigc-labels")
     cards = joins.badge_map(
-        _typed(shop_pages.extract_card_bigc(category_pages), strict_double), labels
+        cleaning.read_prices(shop_pages.extract_card_bigc(category_pages), "bigc"), labels
     )
     watched = hold(
         joins.badge_map(shop_pages.extract_detail_bigc(product_pages), labels), "bigc-watchlist"
@@ -125,7 +113,7 @@ def seven_eleven_catalogue(pages: DataFrame) -> DataFrame:
     """
     cards = stored(shop_pages.extract_card_7e(pages), "7e-cards")
     fresh = dedupe.drop_repeated_pages(cards)
-    return dedupe.dedupe_first(_typed(fresh, price_from_text), SCRAPE_ORDER)
+    return dedupe.dedupe_first(cleaning.read_prices(fresh, "7e"), SCRAPE_ORDER)
 
 
 def seven_eleven_run(
@@ -136,10 +124,8 @@ def seven_eleven_run(
     keep: bool = False,
 ) -> Tables:
     hold = _keeper(keep)
-    watched = hold(
-        _typed(shop_pages.extract_detail_7e(product_pages), price_from_text).select(*PRICE_COLUMNS),
-        "7e-watchlist",
-    )
+    products = cleaning.read_prices(shop_pages.extract_detail_7e(product_pages), "7e")
+    watched = hold(products.select(*PRICE_COLUMNS), "7e-watchlist")
     if just_watchlist:
         rows = watched
     else:

@@ -11,7 +11,7 @@ standard parser; a page with anything unusual is read by the standard parser.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Callable
 from html import unescape
 from html.parser import HTMLParser
@@ -55,11 +55,17 @@ class Element:
     def __init__(self, tag, attrs, parent, start, no):
         self.tag = tag
         self.attrs = attrs
-        self.classes = attrs["class"].split() if "class" in attrs else ()
-        self.class_name = " ".join(self.classes)
+        if "class" in attrs:
+            self.classes = attrs["class"].split()
+            self.class_name = " ".join(self.classes)
+        else:
+            self.classes = ()
+            self.class_name = ""
         self.parent = parent
-        self.start, self.end = start, start + 1
-        self.no, self.end_no = no, no + 1
+        self.start = start
+        self.end = start + 1
+        self.no = no
+        self.end_no = no + 1
 
     def has_class(self, name: str) -> bool:
         return name in self.classes
@@ -79,7 +85,7 @@ class HtmlTree:
         self.owners: list[Element | None] = []  # the element each item lies directly in
         self.elements: list[Element] = []
         self._open: list[Element] = []
-        self._open_tags: Counter[str] = Counter()
+        self._open_tags: dict[str, int] = defaultdict(int)
         self._pending: list[str] = []
         self._unseen = 0
         self._kept_space = 0
@@ -126,8 +132,9 @@ class HtmlTree:
         self._finish_text()
 
     def _finish_text(self) -> None:
-        text = "".join(self._pending)
-        self._pending.clear()
+        pending = self._pending
+        text = pending[0] if len(pending) == 1 else "".join(pending)
+        pending.clear()
         if not text or self._unseen:
             return
         if not self._kept_space and not text.strip(" \n\t\f\r"):
@@ -139,45 +146,47 @@ class HtmlTree:
         """Read clean markup; False as soon as something else turns up."""
         self._restart()
         at = 0
-        while (tag_at := html.find("<", at)) >= 0:
+        find, match, pending = html.find, _CLEAN.match, self._pending
+        start_tag, end_tag = self.start_tag, self.end_tag
+        while (tag_at := find("<", at)) >= 0:
             if tag_at > at:
                 text = html[at:tag_at]
-                self._pending.append(unescape(text) if "&" in text else text)
-            token = _CLEAN.match(html, tag_at)
+                pending.append(unescape(text) if "&" in text else text)
+            token = match(html, tag_at)
             if token is None:
                 return False
             at = token.end()
-            name = token[3]
+            _, closing, name, attributes, self_closing = token.groups()
             if name is None:
                 self._finish_text()
                 continue
             tag = name.lower()
             if tag in _UNCLEAN_TAGS:
                 return False
-            if token[2]:
-                if token[4] or token[5]:
+            if closing:
+                if attributes or self_closing:
                     return False
-                self.end_tag(tag)
+                end_tag(tag)
                 continue
             attrs = {}
-            if token[4]:
-                if "&" in token[4] and _OPEN_REFERENCE.search(token[4]):
+            if attributes:
+                if "&" in attributes and _OPEN_REFERENCE.search(attributes):
                     return False
-                for key, double, single, plain in _ATTRS.findall(token[4]):
+                for key, double, single, plain in _ATTRS.findall(attributes):
                     value = double or single or plain
                     attrs[key.lower()] = unescape(value) if "&" in value else value
-            self.start_tag(tag, attrs)
-            if token[5]:
+            start_tag(tag, attrs)
+            if self_closing:
                 if tag in _RAW_END or tag == "title":
                     return False
                 if tag not in VOID_TAGS:
-                    self.end_tag(tag)
+                    end_tag(tag)
             elif tag in _RAW_END:
                 raw_end = _RAW_END[tag].search(html, at)
                 if raw_end is None or "<!--" in html[at : raw_end.start()]:
                     return False
                 at = raw_end.end()
-                self.end_tag(tag)
+                end_tag(tag)
             elif tag == "title":
                 close_at = html.find("<", at)
                 if html[close_at : close_at + 8].lower() != "</title>":

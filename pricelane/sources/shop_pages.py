@@ -482,17 +482,17 @@ def _card_tops_pieces(tree: HtmlTree):
         yield {"title": tree.packed(title), "prices": _price_spans(tree, box or title.parent)}
 
 
-def _price_pair(found: str, drop: str) -> tuple[Column, Column]:
+def _price_pair(found: str, read: Callable[[Column], Column]) -> tuple[Column, Column]:
     """Two shown prices are promotion and original; a single one is the original."""
-    first = strict_double(F.translate(F.get(found, F.lit(0)), drop, ""))
-    second = strict_double(F.translate(F.get(found, F.lit(1)), drop, ""))
+    first = read(F.get(found, F.lit(0)))
+    second = read(F.get(found, F.lit(1)))
     paired = F.size(found) >= 2
     return F.when(paired, first), F.when(paired, second).otherwise(first)
 
 
 def extract_card_tops(pages: DataFrame) -> DataFrame:
     rows = walk_pages(pages, _card_tops_pieces, {"title": TEXT, "prices": TEXTS})
-    promotion, original = _price_pair("prices", ",")
+    promotion, original = _price_pair("prices", lambda t: strict_double(F.translate(t, ",", "")))
     return _result(
         rows, name=F.col("title"), promotion_price=promotion, original_price=original
     )
@@ -516,7 +516,7 @@ def extract_detail_tops(pages: DataFrame) -> DataFrame:
     rows = walk_pages(
         pages, _detail_tops_pieces, {"title": TEXT, "prices": TEXTS, "offer": TEXT}
     )
-    promotion, original = _price_pair("prices", ",฿")
+    promotion, original = _price_pair("prices", prices.price_drop_currency)
     return _result(
         rows.where(tops_name_ok(F.col("title"))),
         name=F.col("title"),
