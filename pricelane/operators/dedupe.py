@@ -40,7 +40,8 @@ def dedupe_first(
 
 def seen_anti(df: DataFrame, seen: DataFrame, key: str = "name") -> DataFrame:
     """Rows whose key is not in the ``seen`` table (rows without a key stay)."""
-    return df.join(seen.select(key).distinct(), key, "left_anti")
+    known = seen.select(key).distinct().withColumn("seen", F.lit(True))
+    return lookup_join(df, known, key).where(F.col("seen").isNull()).select(*df.columns)
 
 
 def new_items_per_page(rows: DataFrame, order: Sequence[str]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelane.session import fits_broadcast
+from pricelane.session import estimated_bytes, fits_broadcast
 
 # Copies of a lookup entry that a hot key's rows spread over.
 SALTS = 32
@@ -16,9 +16,11 @@ def lookup_join(df: DataFrame, table: DataFrame, key: str, salts: int = SALTS) -
 
     A table Spark can broadcast is left to Spark. A larger one is copied
     ``salts`` times and rows pick a copy by their own content, so the rows of
-    one hot key (or of no key at all) spread over that many tasks.
+    one hot key (or of no key at all) spread over that many tasks. When the
+    copies would outweigh the rows themselves, the plain join is cheaper, and
+    adaptive execution splits its skewed left partitions.
     """
-    if fits_broadcast(table):
+    if fits_broadcast(table) or estimated_bytes(table) * salts > estimated_bytes(df):
         return df.join(table, key, "left")
     copies = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     salted = df.withColumn("salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
@@ -59,35 +61,38 @@ def watchlist_merge(price_rows: DataFrame, condition_rows: DataFrame) -> DataFra
 
 def found_flag(search: DataFrame, listing: DataFrame) -> DataFrame:
     """Each searched ``product_name`` with whether the listing has exactly that name."""
-    wanted = search.select("product_name").distinct()
-    names = (
-        listing.select(F.col("name").alias("product_name"))
-        .join(wanted, "product_name", "left_semi")
-        .distinct()
-        .withColumn("Found", F.lit(True))
-    )
-    return search.join(names, "product_name", "left").withColumn(
+    names = _wanted_rows(listing.select(F.col("name").alias("product_name")), search)
+    marked = names.withColumn("Found", F.lit(True))
+    return search.join(marked, "product_name", "left").withColumn(
         "Found", F.coalesce("Found", F.lit(False))
     )
 
 
+def _wanted_rows(offered: DataFrame, search: DataFrame) -> DataFrame:
+    """Distinct ``offered`` rows whose ``product_name`` is searched.
+
+    With few searched names the rows are cut down before the distinct; with
+    many, the distinct comes first, so that a hot name is already small when
+    rows are shuffled by name.
+    """
+    wanted = search.select("product_name").distinct()
+    if fits_broadcast(search):
+        return offered.join(wanted, "product_name", "left_semi").distinct()
+    return offered.distinct().join(wanted, "product_name", "left_semi")
+
+
 def search_join(search: DataFrame, listing: DataFrame) -> DataFrame:
     """Distinct price pairs of each searched name, or one empty row if it is absent.
 
     Matches are found by a semi join, never by a join that multiplies rows.
-    With few searched names the listing is cut down before its distinct; with
-    many, the distinct comes first so that a hot name is already small when the
-    rows are shuffled by name.
     """
     wanted = search.select("product_name").distinct()
     offered = listing.select(
         F.col("name").alias("product_name"), "original_price", "promotion_price"
     )
-    if fits_broadcast(search):
-        matched = offered.join(wanted, "product_name", "left_semi").distinct()
-    else:
-        matched = offered.distinct().join(wanted, "product_name", "left_semi")
-    absent = wanted.join(matched.select("product_name").distinct(), "product_name", "left_anti")
+    matched = _wanted_rows(offered, search)
+    present = _wanted_rows(offered.select("product_name"), search)
+    absent = wanted.join(present, "product_name", "left_anti")
     return matched.withColumn("Found", F.lit(True)).unionByName(
         absent.select(
             "product_name",

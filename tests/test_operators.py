@@ -108,8 +108,8 @@ def test_search_join_both_ways(spark, threshold):
     ]
 
 
-@pytest.mark.parametrize("threshold, broadcast", [("10MB", True), ("-1", False)])
-def test_lookup_join_both_ways(spark, threshold, broadcast):
+@pytest.mark.parametrize("threshold, salts, salted", [("10MB", 4, False), ("-1", 4, True), ("-1", 10**6, False)])
+def test_lookup_join_all_ways(spark, threshold, salts, salted):
     rows = sightings(spark)
     table = spark.createDataFrame(pa.table({"name": ["Unknown", "n1", "n9999"], "label": [1, 2, 3]}))
     expected = sorted(
@@ -117,8 +117,8 @@ def test_lookup_join_both_ways(spark, threshold, broadcast):
     )
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:
-        joined = joins.lookup_join(rows, table, "name", salts=4)
-        assert ("salt" in plan(joined)) != broadcast
+        joined = joins.lookup_join(rows, table, "name", salts=salts)
+        assert ("salt" in plan(joined)) == salted
         assert sorted((r["seq"], r["label"]) for r in joined.collect()) == expected
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
