@@ -36,8 +36,10 @@ def lotus_name_ok(title: Column) -> Column:
     return F.coalesce(known & ~title.contains(LOTUS_BLOCK_TITLE), F.lit(False))
 
 
-def tops_name_ok(title: Column) -> Column:
-    return F.coalesce((title != "") & ~contains_any(F.lower(title), TOPS_BLOCK_TITLES), F.lit(False))
+def tops_name_ok(title: Column, heading: Column) -> Column:
+    """A title that exists on a page whose visible heading is no challenge text."""
+    named = (title != "") & ~F.lower(title).contains(TOPS_SITE)
+    return F.coalesce(named & ~contains_any(F.lower(heading), TOPS_BLOCK_TITLES), F.lit(False))
 
 
 def is_blocked(h1: Column, html_ok: Column) -> Column:

@@ -265,6 +265,10 @@ class HtmlTree:
                 pieces.append("\t")
         return [t for t in (line.strip() for line in "".join(pieces).split("\n")) if t]
 
+    def shown(self, element: Element | None) -> str | None:
+        """The text of an element as a reader sees it."""
+        return None if element is None else "\n".join(self.lines(element))
+
 
 class _StandardReader(HTMLParser):
     """Fills a tree through the standard parser."""

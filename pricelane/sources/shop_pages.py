@@ -237,7 +237,7 @@ def _titled(e: Element) -> bool:
 def _price_makro_pieces(tree: HtmlTree):
     title = tree.find(_titled) or tree.find(_tag("h1"))
     yield {
-        "title": None if title is None else "\n".join(tree.lines(title)),
+        "title": tree.shown(title),
         "lines": [] if title is None else tree.lines(tree.find(_tag("body")) or tree.root),
     }
 
@@ -506,6 +506,7 @@ def _detail_tops_pieces(tree: HtmlTree):
 
     yield {
         "title": tree.packed(tree.find(_tag("h1"))),
+        "heading": tree.shown(tree.find(_tag("h1"))),
         "prices": _price_spans(tree),
         "offer": tree.packed(tree.find(is_offer)),
     }
@@ -514,11 +515,13 @@ def _detail_tops_pieces(tree: HtmlTree):
 def extract_detail_tops(pages: DataFrame) -> DataFrame:
     """Product pages that loaded: challenge pages and pages without a title drop out."""
     rows = walk_pages(
-        pages, _detail_tops_pieces, {"title": TEXT, "prices": TEXTS, "offer": TEXT}
+        pages,
+        _detail_tops_pieces,
+        {"title": TEXT, "heading": TEXT, "prices": TEXTS, "offer": TEXT},
     )
     promotion, original = _price_pair("prices", prices.price_drop_currency)
     return _result(
-        rows.where(tops_name_ok(F.col("title"))),
+        rows.where(tops_name_ok(F.col("title"), F.col("heading"))),
         name=F.col("title"),
         promotion_price=promotion,
         original_price=original,
@@ -530,10 +533,10 @@ def extract_detail_tops(pages: DataFrame) -> DataFrame:
 def _card_go_pieces(tree: HtmlTree):
     for card in tree.find_all(lambda e: e.has_class("stick_camp_prod_item")):
         yield {
-            "title": tree.text(tree.find(_classed("p", "chakra-text", "css-138rv0j"), card)),
-            "sale": tree.text(tree.find(_classed("b", "chakra-text", "css-aqfyqq"), card)),
-            "original": tree.text(tree.find(_classed("del", "chakra-text", "css-nxr2hb"), card)),
-            "discount": tree.text(tree.find(_classed("span", "p-1"), card)),
+            "title": tree.shown(tree.find(_classed("p", "chakra-text", "css-138rv0j"), card)),
+            "sale": tree.shown(tree.find(_classed("b", "chakra-text", "css-aqfyqq"), card)),
+            "original": tree.shown(tree.find(_classed("del", "chakra-text", "css-nxr2hb"), card)),
+            "discount": tree.shown(tree.find(_classed("span", "p-1"), card)),
         }
 
 

@@ -130,7 +130,20 @@ def test_card_tops_finds_nearest_box(spark):
     assert got == [("A", None, 1100.0), ("B", 5.0, 6.0), ("C", None, None)]
 
 
-@pytest.mark.parametrize("title", ["Just a moment...", "www.Tops.co.th", "Checking your browser", ""])
+def test_card_go_reads_visible_text(spark):
+    html = (
+        '<div class="stick_camp_prod_item"><p class="chakra-text css-138rv0j">Nước\n  rửa <i>chén</i></p>'
+        '<b class="chakra-text css-aqfyqq">1.234.000 đ</b><span class="p-1 x"> -5% </span></div>'
+        '<div class="stick_camp_prod_item"><p class="chakra-text">other</p></div>'
+    )
+    got = rows_of(
+        shop_pages.extract_card_go(pages(spark, html)),
+        "product_name_vi", "sale_price", "original_price", "discount_pct",
+    )
+    assert got == [("Nước rửa chén", 1234000, None, "-5%")]
+
+
+@pytest.mark.parametrize("title", ["Just a <b>moment</b>...", "Just a moment...", "www.Tops.co.th", "Checking your browser", ""])
 def test_detail_tops_drops_challenges(spark, title):
     assert shop_pages.extract_detail_tops(pages(spark, f"<h1>{title}</h1>")).count() == 0
 
