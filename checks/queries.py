@@ -854,18 +854,18 @@ def makro_catalogue(spark, folder):
     return shops.makro_catalogue(inputs.cards_makro(spark, folder, "family_name"))
 
 
-@check("pipeline_makro", on_listing(_MAKRO_LISTING))
-def pipeline_makro(spark, folder):
+@check("run_makro", on_listing(_MAKRO_LISTING))
+def run_makro(spark, folder):
     return makro_tables(spark, folder)["listing"]
 
 
-@check("pipeline_makro_watchlist", on_listing(oracle.standard(_MAKRO_WATCHED, "makro")))
-def pipeline_makro_watchlist(spark, folder):
+@check("run_makro_watchlist", on_listing(oracle.standard(_MAKRO_WATCHED, "makro")))
+def run_makro_watchlist(spark, folder):
     return makro_tables(spark, folder)["watchlist"]
 
 
-@check("pipeline_makro_search", on_listing(oracle.searched(oracle.search_list(), _MAKRO_LISTING)))
-def pipeline_makro_search(spark, folder):
+@check("run_makro_search", on_listing(oracle.searched(oracle.search_list(), _MAKRO_LISTING)))
+def run_makro_search(spark, folder):
     return makro_tables(spark, folder, keep=True)["search"]
 
 
@@ -888,25 +888,25 @@ _BIGC_WATCHED = _badged(oracle.DETAIL_BIGC)
 
 
 @check(
-    "pipeline_bigc",
+    "run_bigc",
     on_listing(
         oracle.standard(_badged(oracle.typed(oracle.CARD_BIGC, oracle.num)), "bigc"), labels=oracle.BADGE_LABELS
     ),
 )
-def pipeline_bigc(spark, folder):
+def run_bigc(spark, folder):
     return bigc_tables(spark, folder)["listing"]
 
 
-@check("pipeline_bigc_watchlist", on_listing(oracle.standard(_BIGC_WATCHED, "bigc"), labels=oracle.BADGE_LABELS))
-def pipeline_bigc_watchlist(spark, folder):
+@check("run_bigc_watchlist", on_listing(oracle.standard(_BIGC_WATCHED, "bigc"), labels=oracle.BADGE_LABELS))
+def run_bigc_watchlist(spark, folder):
     return bigc_tables(spark, folder)["watchlist"]
 
 
 @check(
-    "pipeline_bigc_search",
+    "run_bigc_search",
     on_listing(oracle.searched(oracle.search_list("name"), _BIGC_WATCHED), labels=oracle.BADGE_LABELS),
 )
-def pipeline_bigc_search(spark, folder):
+def run_bigc_search(spark, folder):
     return bigc_tables(spark, folder, keep=True)["search"]
 
 
@@ -930,20 +930,20 @@ _LOTUS_WATCHED = (
 
 
 @check(
-    "pipeline_lotus",
+    "run_lotus",
     on_listing(oracle.standard(oracle.first_of(oracle.card_lotus("family_name"), "name", "page_no, pos"), "lotus")),
 )
-def pipeline_lotus(spark, folder):
+def run_lotus(spark, folder):
     return lotus_tables(spark, folder)["listing"]
 
 
-@check("pipeline_lotus_watchlist", on_listing(oracle.standard(_LOTUS_WATCHED, "lotus")))
-def pipeline_lotus_watchlist(spark, folder):
+@check("run_lotus_watchlist", on_listing(oracle.standard(_LOTUS_WATCHED, "lotus")))
+def run_lotus_watchlist(spark, folder):
     return lotus_tables(spark, folder)["watchlist"]
 
 
-@check("pipeline_lotus_search", on_listing(oracle.searched(oracle.search_list("name"), _LOTUS_WATCHED)))
-def pipeline_lotus_search(spark, folder):
+@check("run_lotus_search", on_listing(oracle.searched(oracle.search_list("name"), _LOTUS_WATCHED)))
+def run_lotus_search(spark, folder):
     return lotus_tables(spark, folder, keep=True)["search"]
 
 
@@ -951,52 +951,52 @@ _7E_WATCHED = oracle.typed(oracle.DETAIL_7E, oracle.digits_price)
 _7E_CARDS = oracle.first_of(oracle.typed(oracle.CARD_7E, oracle.digits_price), "name", "page_no, pos")
 
 
-@check("pipeline_7e", on_listing(oracle.standard(_7E_WATCHED, "7e")))
-def pipeline_7e(spark, folder):
+@check("run_7e", on_listing(oracle.standard(_7E_WATCHED, "7e")))
+def run_7e(spark, folder):
     return shops.seven_eleven_run(
         inputs.catalogue_7e(spark, folder), inputs.details_7e(spark, folder), RUN_DATE
     )["listing"]
 
 
 @check(
-    "pipeline_7e_with_catalogue",
+    "run_7e_with_catalogue",
     on_listing(
         oracle.standard(
             f"select {_CANONICAL} from ({_7E_CARDS}) union all select {_CANONICAL} from ({_7E_WATCHED})", "7e"
         )
     ),
 )
-def pipeline_7e_with_catalogue(spark, folder):
+def run_7e_with_catalogue(spark, folder):
     return shops.seven_eleven_run(
         inputs.catalogue_7e(spark, folder), inputs.details_7e(spark, folder), RUN_DATE, just_watchlist=False
     )["listing"]
 
 
-@check("pipeline_tops", on_listing(oracle.standard(oracle.DETAIL_TOPS, "tops")))
-def pipeline_tops(spark, folder):
+@check("run_tops", on_listing(oracle.standard(oracle.DETAIL_TOPS, "tops")))
+def run_tops(spark, folder):
     return shops.tops_run(inputs.details_tops(spark, folder), RUN_DATE)["watchlist"]
 
 
 @check(
-    "pipeline_tops_catalogue",
+    "run_tops_catalogue",
     on_listing(oracle.standard(f"select *, cast(null as varchar) as condition from ({oracle.CARD_TOPS})", "tops")),
 )
-def pipeline_tops_catalogue(spark, folder):
+def run_tops_catalogue(spark, folder):
     return shops.tops_catalogue(inputs.cards_tops(spark, folder), RUN_DATE)
 
 
-@check("pipeline_shopee", on_listing(f"select *, {oracle.DATE} as \"Date\" from ({oracle.FEED_FLAT})"))
-def pipeline_shopee(spark, folder):
+@check("run_shopee", on_listing(f"select *, {oracle.DATE} as \"Date\" from ({oracle.FEED_FLAT})"))
+def run_shopee(spark, folder):
     return shops.shopee_items(items(spark, folder), RUN_DATE)
 
 
-@check("pipeline_shopee_vn", on_listing(oracle.FEED_OPTIONAL))
-def pipeline_shopee_vn(spark, folder):
+@check("run_shopee_vn", on_listing(oracle.FEED_OPTIONAL))
+def run_shopee_vn(spark, folder):
     return shops.shopee_vn_items(items(spark, folder))
 
 
-@check("pipeline_shopee_models", on_listing(oracle.FEED_MODELS))
-def pipeline_shopee_models(spark, folder):
+@check("run_shopee_models", on_listing(oracle.FEED_MODELS))
+def run_shopee_models(spark, folder):
     return shops.shopee_models(items(spark, folder))
 
 
@@ -1007,7 +1007,7 @@ _GO_DICTIONARY = (
 
 
 @check(
-    "pipeline_go",
+    "run_go",
     on_listing(
         f"select *, {oracle.volume('go', 'product_name_en')} as \"Volume\", "
         f"{oracle.unit('go', 'product_name_en')} as \"Unit\", "
@@ -1018,7 +1018,7 @@ _GO_DICTIONARY = (
         dictionary=_GO_DICTIONARY,
     ),
 )
-def pipeline_go(spark, folder):
+def run_go(spark, folder):
     half = F.floor(F.col("seq") / 2).cast("string")
     known = (
         listing(spark, folder)
@@ -1050,11 +1050,11 @@ def pipeline_go(spark, folder):
 )
 def all_retailers(spark, folder):
     return shops.all_retailers(
-        pipeline_makro(spark, folder),
-        pipeline_bigc_watchlist(spark, folder),
-        pipeline_lotus_watchlist(spark, folder),
-        pipeline_7e(spark, folder),
-        pipeline_tops(spark, folder),
+        run_makro(spark, folder),
+        run_bigc_watchlist(spark, folder),
+        run_lotus_watchlist(spark, folder),
+        run_7e(spark, folder),
+        run_tops(spark, folder),
     )
 
 

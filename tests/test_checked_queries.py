@@ -26,7 +26,7 @@ def test_entry_has_rows(spark):
     assert driver.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", ["pipeline_makro", "pipeline_bigc", "pipeline_lotus", "all_retailers"])
+@pytest.mark.parametrize("name", ["run_makro", "run_bigc", "run_lotus", "all_retailers"])
 def test_plans_have_no_cross_joins(spark, folder, name):
     plan = driver.queries()[name](spark, folder)._jdf.queryExecution().executedPlan().toString()
     assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin", plan)
