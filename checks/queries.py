@@ -70,13 +70,12 @@ def scan_pages(spark, folder):
 
 @check(
     "watchlist_source",
-    on_listing("select retailer, 'https://shop.example/p/'||seq as url from listing where seq%7=0"),
+    on_listing("select retailer, 'https://shop.example/p/'||seq as url from listing"),
 )
 def watchlist_source(spark, folder):
     path = scratch_path(spark, "watchlist")
-    chosen = listing(spark, folder).where("seq % 7 = 0")
     tables.write_csv(
-        chosen.select("retailer", F.concat(F.lit("https://shop.example/p/"), "seq").alias("url")), path
+        listing(spark, folder).select("retailer", F.concat(F.lit("https://shop.example/p/"), "seq").alias("url")), path
     )
     return tables.read_watchlist(spark, path)
 
@@ -100,7 +99,8 @@ def dated_sink_roundtrip(spark, folder):
     path = scratch_path(spark, "listing")
     rows = price_rows(spark, folder)
     makro = cleaning.standardize(rows, "makro", RUN_DATE)
-    tables.write_dated(makro.limit(10), path)  # an earlier run of the same day, replaced below
+    earlier = cleaning.standardize(rows.withColumn("name", F.concat(F.lit("Old "), "name")), "makro", RUN_DATE)
+    tables.write_dated(earlier, path)  # an earlier run of the same day, replaced below
     tables.write_dated(makro, path)
     tables.write_dated(cleaning.standardize(rows, "bigc", RUN_DATE), path)
     return tables.read_dated(spark, path, LISTING_COLUMNS)
@@ -721,7 +721,7 @@ def run_summary(spark, folder):
         "(select page_no, count(*) as n from (select * from paged qualify row_number() over "
         "(partition by name order by page_no, pos) = 1) group by 1) f on p.page_no = f.page_no",
         paged="select cast(seq//50 as integer) as page_no, seq%50 as pos, family_name as name from listing "
-        "union all select cast(seq//50 as integer) + 1000000, seq%50, family_name from listing where seq%3=0",
+        "union all select cast(seq//50 as integer) + 1000000, seq%50, family_name from listing",
     ),
 )
 def new_items_per_page(spark, folder):
@@ -731,7 +731,7 @@ def new_items_per_page(spark, folder):
         (F.col("seq") % 50).alias("pos"),
         F.col("family_name").alias("name"),
     )
-    again = rows.where("seq % 3 = 0").withColumn("page_no", F.col("page_no") + 1000000)
+    again = rows.withColumn("page_no", F.col("page_no") + 1000000)
     return dedupe.new_items_per_page(rows.unionByName(again), ["page_no", "pos"])
 
 
@@ -765,7 +765,7 @@ _CANONICAL = "name, promotion_price, original_price, condition"
 @check(
     "union_sources",
     on_listing(
-        f"select {_CANONICAL} from ({PRICE_ROWS}) union all select {_CANONICAL} from ({PRICE_ROWS}) where seq%2=0 "
+        f"select {_CANONICAL} from ({PRICE_ROWS}) union all select {_CANONICAL} from ({PRICE_ROWS}) "
         f"union all select {_CANONICAL} from ({FAMILY_ROWS})"
     ),
 )
@@ -773,17 +773,17 @@ def union_sources(spark, folder):
     rows = price_rows(spark, folder)
     return arranging.union_sources(
         rows.select(*PRICE_COLUMNS),
-        rows.where("seq % 2 = 0").select(*PRICE_COLUMNS),
+        rows.select(*PRICE_COLUMNS),
         family_rows(spark, folder).select(*reversed(PRICE_COLUMNS)),
     )
 
 
 @check(
     "union_toggle",
-    on_listing(f"select {_CANONICAL} from ({FAMILY_ROWS}) union all select {_CANONICAL} from ({PRICE_ROWS}) where seq%7=0"),
+    on_listing(f"select {_CANONICAL} from ({FAMILY_ROWS}) union all select {_CANONICAL} from ({PRICE_ROWS})"),
 )
 def union_toggle(spark, folder):
-    watched = price_rows(spark, folder).where("seq % 7 = 0").select(*PRICE_COLUMNS)
+    watched = price_rows(spark, folder).select(*PRICE_COLUMNS)
     return arranging.union_toggle(family_rows(spark, folder).select(*PRICE_COLUMNS), watched, False)
 
 
@@ -1093,13 +1093,14 @@ def sightings_dedupe_first(spark, folder):
     "sightings_search_join",
     on_listing(
         oracle.searched(
-            "select name as product_name from listing where seq%7=0 union all select 'Unknown' "
-            "union all select 'No such item '||seq from listing where seq%7=0",
+            oracle.search_list("name") + " union all select 'Unknown'",
             oracle.SIGHTING_PRICES,
         )
     ),
 )
 def sightings_search_join(spark, folder):
     wanted = search_list(spark, folder, "name")
-    placeholder = table(spark, folder, "region").select(F.lit("Unknown").alias("product_name")).limit(1)
+    placeholder = table(spark, folder, "region").where("r_regionkey = 0").select(
+        F.lit("Unknown").alias("product_name")
+    )
     return joins.search_join(wanted.unionByName(placeholder), sighting_prices(spark, folder))
