@@ -14,6 +14,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 PLACES = {
     "op3_slot_sharding": "slot_sharding",
     "op4_bpe_reuse": "bpe_reuse",
+    "op6_chat_template": "chat_template",
+    "op8_repetition": "repetition",
+    "op9_html_blocks": "html_blocks",
 }
 
 QUERIES: dict[str, Query] = {}
