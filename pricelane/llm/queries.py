@@ -12,6 +12,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 #: query -> module that holds it
 PLACES = {
+    "op1_pii_crf": "pii_crf",
     "op2_toxicity_ordinal": "toxicity_ordinal",
     "op3_slot_sharding": "slot_sharding",
     "op4_bpe_reuse": "bpe_reuse",
