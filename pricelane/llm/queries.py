@@ -19,6 +19,7 @@ PLACES = {
     "op6_chat_template": "chat_template",
     "op8_repetition": "repetition",
     "op9_html_blocks": "html_blocks",
+    "op10_minhash_oph": "minhash_oph",
 }
 
 QUERIES: dict[str, Query] = {}
