@@ -16,6 +16,7 @@ PLACES = {
     "op2_toxicity_ordinal": "toxicity_ordinal",
     "op3_slot_sharding": "slot_sharding",
     "op4_bpe_reuse": "bpe_reuse",
+    "op5_spaced_seeds": "spaced_seeds",
     "op6_chat_template": "chat_template",
     "op8_repetition": "repetition",
     "op9_html_blocks": "html_blocks",
