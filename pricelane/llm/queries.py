@@ -18,6 +18,7 @@ PLACES = {
     "op4_bpe_reuse": "bpe_reuse",
     "op5_spaced_seeds": "spaced_seeds",
     "op6_chat_template": "chat_template",
+    "op7_suffix_dedup": "suffix_dedup",
     "op8_repetition": "repetition",
     "op9_html_blocks": "html_blocks",
     "op10_minhash_oph": "minhash_oph",
