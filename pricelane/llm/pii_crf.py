@@ -329,20 +329,35 @@ def find_spans(df: DataFrame, field: Field | None, key: str = "doc_id", text: st
     return map_slices(rows, work, f"doc_id {kind}, text string, spans array<{SPAN}>")
 
 
-def redacted(text: Column, spans: Column) -> Column:
-    """The text with each stretch that spans cover replaced by the kind of its first span, as ``<EMAIL>``.
-
-    Spans come by start; a span that begins inside the stretch before it lengthens that stretch.
-    """
-    zero = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-
-    def step(state: Column, span: Column) -> Column:
-        fresh = span["start"] >= state["at"]
-        gap = F.when(fresh, F.substring(text, state["at"] + 1, span["start"] - state["at"])).otherwise(F.lit(""))
-        mark = F.when(fresh, F.concat(F.lit("<"), F.upper(span["kind"]), F.lit(">"))).otherwise(F.lit(""))
-        return F.struct(F.concat(state["out"], gap, mark).alias("out"), F.greatest(state["at"], span["end"]).alias("at"))
-
-    return F.aggregate(spans, zero, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.char_length(text))))
+def redact_text(text: str, spans: list[Span]) -> str:
+    """The text with each stretch that spans cover replaced by the kind of its first span, as ``<EMAIL>``."""
+    out, at = [], 0
+    for s in sorted(spans):
+        if s.start >= at:
+            out.extend((text[at : s.start], f"<{s.kind.upper()}>"))
+        at = max(at, s.end)
+    return "".join(out) + text[at:]
+
+
+def redact(df: DataFrame, field: Field | None, text: str = "text", n_chars: str = "n_chars") -> DataFrame:
+    """The rows of ``df`` with all their columns, personal data replaced; ``n_chars`` follows, null stays null."""
+    shared = df.sparkSession.sparkContext.broadcast(field)
+
+    def run(batches):
+        own = shared.value
+        for batch in batches:
+            texts, lengths = batch.column(text).to_pylist(), batch.column(n_chars).to_pylist()
+            for k, t in enumerate(texts):
+                base = base_spans(t or "")
+                if base:
+                    texts[k] = redact_text(t, base + added_spans(t, base, own))
+                    lengths[k] = len(texts[k])
+            for name, values in ((text, texts), (n_chars, lengths)):
+                at = batch.schema.get_field_index(name)
+                batch = batch.set_column(at, batch.schema.field(at), pa.array(values, batch.schema.field(at).type))
+            yield batch
+
+    return df.mapInArrow(run, df.schema)
 
 
 def joined(spans: Column) -> Column:

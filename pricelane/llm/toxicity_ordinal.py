@@ -179,27 +179,32 @@ def train(docs: DataFrame, labels: DataFrame, rows_of_each: int = SAMPLE_ROWS) -
     return OrdinalModel(weights, thresholds + max(0.0, float(thinned)))
 
 
+def text_scores(texts: list[str], model: OrdinalModel) -> np.ndarray:
+    """The score of each text: the weights of its features."""
+    kept = worker_cache().setdefault("toxicity", {})
+    if kept.get("of") is not model or len(kept["words"]) > _CACHED_WORDS:
+        kept["of"], kept["words"] = model, {}
+    known: dict[str, tuple] = kept["words"]
+    scores = []
+    for text in texts:
+        active: set[int] = set()
+        for w in words(text):
+            found = known.get(w)
+            if found is None:
+                found = known[w] = tuple(f for f in word_features(w) if f in model.weights)
+            active.update(found)
+        scores.append(sum(model.weights[f] for f in sorted(active)))  # one order of addition
+    return np.array(scores, float)
+
+
 def score_rows(df: DataFrame, model: OrdinalModel, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, score, severity, grade``; severity is the expected grade, grade the most likely one."""
+    """``doc_id, score, severity, grade, p_toxic``; severity is the expected grade, grade the most likely one."""
     rows = keyed_text(df, key, text)
     shared = rows.sparkSession.sparkContext.broadcast(model)  # features of the bounded sample at most
 
     def work(batch: pa.RecordBatch) -> dict:
         own = shared.value
-        kept = worker_cache().setdefault("toxicity", {})
-        if kept.get("of") is not own or len(kept["words"]) > _CACHED_WORDS:
-            kept["of"], kept["words"] = own, {}
-        known: dict[str, tuple] = kept["words"]
-        scores = []
-        for text in batch.column("text").to_pylist():
-            active: set[int] = set()
-            for w in words(text):
-                found = known.get(w)
-                if found is None:
-                    found = known[w] = tuple(f for f in word_features(w) if f in own.weights)
-                active.update(found)
-            scores.append(sum(own.weights[f] for f in sorted(active)))
-        scores = np.array(scores, float)
+        scores = text_scores(batch.column("text").to_pylist(), own)
         over = above(scores, own.thresholds)
         shares = -np.diff(np.column_stack([np.ones(len(scores)), over, np.zeros(len(scores))]), axis=1)
         return {
@@ -211,6 +216,21 @@ def score_rows(df: DataFrame, model: OrdinalModel, key: str = "doc_id", text: st
     return map_slices(rows, work, f"doc_id {kind}, score double, severity double, grade int, p_toxic double")
 
 
+def without_toxic(df: DataFrame, model: OrdinalModel, text: str = "text", toxic_from: float = TOXIC_FROM) -> DataFrame:
+    """The rows of ``df`` whose text is not toxic, with all their columns; no shuffle."""
+    shared = df.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        own = shared.value
+        for batch in batches:
+            scores = text_scores([t or "" for t in batch.column(text).to_pylist()], own)
+            clean = above(scores, own.thresholds)[:, 0] < toxic_from
+            if clean.any():
+                yield batch.filter(pa.array(clean))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def op2_toxicity_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its expected severity, most likely grade and whether it is toxic at all."""
     docs = documents(spark, sf_dir)
