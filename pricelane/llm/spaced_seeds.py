@@ -37,16 +37,10 @@ def tokens(text: Column) -> Column:
 def seeds(rows: DataFrame, key: str) -> DataFrame:
     """``key, pos, seed`` for each window of a ``tokens`` column and each mask."""
     hashed = rows.select(key, F.transform("tokens", lambda w: F.xxhash64(w)).alias("h")).where(F.size("h") >= SPAN)
-    windows = F.size("h") - F.lit(SPAN - 1)
-    places = F.sequence(F.lit(0), windows - 1)
-
-    def masked(number: int, mask: tuple[int, ...]) -> Column:
-        return F.transform(places, lambda i: F.xxhash64(F.lit(number), *(F.get(F.col("h"), i + place) for place in mask)))
-
-    every = F.concat(*(masked(n, m) for n, m in enumerate(MASKS)))
-    return hashed.select(key, windows.alias("windows"), F.posexplode(every).alias("at", "seed")).select(
-        key, F.pmod("at", "windows").alias("pos"), "seed"
-    )
+    shifted = (F.slice("h", place + 1, F.size("h") - F.lit(SPAN - 1)).alias(f"t{place}") for place in range(SPAN))
+    windows = hashed.select(key, F.posexplode(F.arrays_zip(*shifted)).alias("pos", "w"))
+    masked = (F.xxhash64(F.lit(number), *(F.col(f"w.t{place}") for place in mask)) for number, mask in enumerate(MASKS))
+    return windows.select(key, "pos", F.explode(F.array(*masked)).alias("seed"))
 
 
 def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
