@@ -6,8 +6,8 @@ of bins give buckets. Documents with equal shingle sets are one node, so copies
 
 In a bucket only a few centers are compared with the other members, the most connected first, so the
 pairs stay in proportion to the members. A center that has met all members of its bucket leaves it; buckets whose
-members are all in one component are done. Rounds with more centers go on until every bucket is done, so no two
-members of a bucket in different components stay uncompared. Links are confirmed on full shingle sets.
+members are all in one component are done. Rounds with more centers, those of small components first, go on until
+every bucket is done, so no two members of a bucket in different components stay uncompared. Links are confirmed on full shingle sets.
 
 With the defaults a pair at the threshold shares no bucket with a chance below one in a million.
 
@@ -196,35 +196,47 @@ def near_components(df: DataFrame, n_words: int = WORDS, percent: int = PERCENT,
     )
 
 
+def merged(components_of: DataFrame, links: DataFrame) -> DataFrame:
+    """``component, into``: components that new links join, after two steps to the least neighbour.
+
+    Two steps are enough for stars; what they leave apart stays right, as links are only ever added, and
+    ``components`` names the final ones.
+    """
+    ends = links.join(components_of.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a").join(
+        components_of.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b"
+    )
+    both = stored(ends.select(F.explode(F.array(F.struct(F.col("ca").alias("x"), F.col("cb").alias("y")), F.struct(F.col("cb").alias("x"), F.col("ca").alias("y")))).alias("e")).select("e.*").distinct(), "joined")
+    one = stored(both.groupBy("x").agg(F.min("y").alias("y")).select("x", F.least("x", "y").alias("label")), "joined")
+    two = both.join(one.select(F.col("x").alias("y"), "label"), "y").groupBy("x").agg(F.min("label").alias("label"))
+    return two.join(one.withColumnRenamed("label", "own"), "x").select(F.col("x").alias("component"), F.least("label", "own").alias("into"))
+
+
 def node_components(rows: DataFrame, some: DataFrame, nodes: DataFrame, n_words: int, percent: int) -> DataFrame:
     """``node, component`` of the nodes that have links."""
     members = some.join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").select(
         F.col("doc_id").alias("node"), "n_shingles", F.explode("bands").alias("bucket")
     )
     shared = members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    live = members.join(shared, "bucket").distinct()
-    live = stored(live, "members")
-    busy = live.groupBy("node").agg(F.sum("size").alias("degree"))  # the middle of a group meets most
-    live = live.drop("size").join(busy, "node").withColumn("component", F.col("node"))
-    wanted = busy.select(F.col("node").alias("doc_id"))
+    live = stored(members.join(shared, "bucket").distinct(), "members")
+    # the middle of a group meets most
+    labels = stored(live.groupBy("node").agg(F.sum("size").alias("degree"), F.first("n_shingles").alias("n_shingles")).withColumn("component", F.col("node")), "labels")
+    live = live.select("bucket", "node")
+    wanted = labels.select(F.col("node").alias("doc_id"))
     sets = stored(full_sets(rows.join(wanted, "doc_id", "left_semi"), n_words).dropDuplicates(["node"]), "shingle-sets")
-    links = None
-    tested = None
-    centers_each = 1
+    links = tested = None
+    centers_each = 4
     while True:
-        live = stored(live, "members")
-        per_bucket = live.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
-        open_members = live.join(per_bucket.select("bucket"), "bucket", "left_semi")
-        if open_members.isEmpty():
-            break
-        weight = open_members.groupBy("bucket", "component").agg(F.count("*").alias("weight"))
+        known = labels.join(labels.groupBy("component").agg(F.count("*").alias("weight")), "component")
+        marked = live.join(known, "node")
+        several = marked.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
+        live = stored(live.join(several.select("bucket"), "bucket", "left_semi"), "members")
+        # the small components of a bucket meet the others, so the large one need not
         order = Window.partitionBy("bucket").orderBy("weight", F.desc("degree"), "node")
-        center = (
-            open_members.join(weight, ["bucket", "component"]).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= centers_each)
-            .select("bucket", F.col("node").alias("center"), F.col("component").alias("of"), F.col("n_shingles").alias("n_center"), "rank")
-        )
-        center = stored(center, "centers")
-        met = open_members.join(center, "bucket").where(
+        ranked = live.join(known, "node").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= centers_each)
+        center = stored(ranked.select("bucket", F.col("node").alias("center"), F.col("component").alias("of"), F.col("n_shingles").alias("n_center")), "centers")
+        if center.isEmpty():
+            break
+        met = live.join(center, "bucket").join(labels.select("node", "component", "n_shingles"), "node").where(
             (F.col("component") != F.col("of"))
             & (100 * F.least("n_shingles", "n_center") >= percent * F.greatest("n_shingles", "n_center"))  # else too unlike in size
         )
@@ -234,13 +246,12 @@ def node_components(rows: DataFrame, some: DataFrame, nodes: DataFrame, n_words:
         pairs = stored(pairs, "pairs")
         tested = pairs if tested is None else tested.union(pairs)
         found = stored(confirmed(pairs, sets, percent), "links")
-        rest = open_members.join(center.select("bucket", F.col("center").alias("node")), ["bucket", "node"], "left_anti")
         if not found.isEmpty():
             links = found if links is None else links.union(found)
-            labels = components(links)
-            rest = rest.drop("component").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        live = rest.select("bucket", "node", "n_shingles", "degree", "component")
-        centers_each *= 4
+            into = merged(labels, found)
+            labels = stored(labels.join(into, "component", "left").withColumn("component", F.coalesce("into", "component")).drop("into"), "labels")
+        live = live.join(center.select("bucket", F.col("center").alias("node")), ["bucket", "node"], "left_anti")
+        centers_each *= 8
     if links is None:
         return nodes.select("node", F.col("node").alias("component")).limit(0)
     return components(links)
