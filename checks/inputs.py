@@ -375,8 +375,9 @@ def cards_go(spark: SparkSession, folder: str) -> DataFrame:
 
 # -- other inputs ---------------------------------------------------------------
 def driver_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """The driver's pages with challenge texts put into some of them."""
+    """The driver's pages, dealt to three shops, with challenge texts put into some of them."""
     page_id = F.col("page_id")
+    shop = page_id % 3
     heading = (
         F.when(page_id % 10 == 1, "<h1>Just a moment... ")
         .when(page_id % 10 == 3, "<h1>You are BLOCKED ")
@@ -388,6 +389,7 @@ def driver_pages(spark: SparkSession, folder: str) -> DataFrame:
         page_id.cast("int").alias("url_no"),
         "url",
         F.lit(1).alias("page_no"),
+        F.when(shop == 0, "BigC").when(shop == 1, "Tops").otherwise("Lotus").alias("retailer"),
         F.replace("html", F.lit("<h1>"), heading).alias("html"),
     )
 
@@ -421,9 +423,13 @@ def attempts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def feed(spark: SparkSession, folder: str) -> DataFrame:
-    """Feed records as JSON text; some lack an item, prices or models."""
+    """Feed records as JSON text; some lack an item, prices or models, or have odd fields only.
+
+    Amounts of every 13th record have a fraction.
+    """
     rows = listing(spark, folder)
     seq = F.col("seq")
+    half = F.when(seq % 13 == 0, 0.5).otherwise(0.0)
 
     def priced(amount: Column, lost: int) -> Column:
         value = F.struct(amount.alias("single_value"))
@@ -452,8 +458,8 @@ def feed(spark: SparkSession, folder: str) -> DataFrame:
             F.col("name").alias("title"),
             F.col("family_name").alias("title_tr"),
             F.lit("VND").alias("currency"),
-            ((seq + 1) * 12_345).alias("price"),
-            F.when(seq % 5 != 0, (seq + 1) * 23_456).alias("price_before_discount"),
+            ((seq + 1) * 12_345 + half).alias("price"),
+            F.when(seq % 5 != 0, (seq + 1) * 23_456 + half).alias("price_before_discount"),
             F.struct(((seq % 50) / 10).alias("rating_star")).alias("item_rating"),
             models.alias("models"),
         ),
@@ -466,4 +472,6 @@ def feed(spark: SparkSession, folder: str) -> DataFrame:
         ).alias("product_price"),
     )
     record = F.struct(F.struct(F.when(seq % 11 != 0, inner).alias("data")).alias("data"))
-    return rows.select(F.to_json(record).alias("json"))
+    odd = F.when(seq % 17 == 0, '{"image":"x.png"}').when(seq % 19 == 0, '{"item_id":null}').otherwise("{}")
+    lone = F.concat(F.lit('{"data":{"data":{"item":'), odd, F.lit("}}}"))
+    return rows.select(F.when((seq % 7 == 0) & (seq % 11 != 0), lone).otherwise(F.to_json(record)).alias("json"))

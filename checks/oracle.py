@@ -90,22 +90,22 @@ def ordered(source: str, rest: str = "name, condition") -> str:
     )
 
 
-def parsed(source: str, profile: str) -> str:
+def parsed(source: str, profile: str, keep: str = "") -> str:
     condition = "cast(null as varchar)" if profile == "7e" else "condition"
     retailer = RETAILERS[profile].replace("'", "''")
     return (
-        f"select name, promotion_price, original_price, {condition} as condition, "
+        f"select {keep + ', ' if keep else ''}name, promotion_price, original_price, {condition} as condition, "
         f"{DATE} as \"Date\", {brand(profile)} as \"Brand\", {volume(profile)} as \"Volume\", "
         f"{unit(profile)} as \"Unit\", {pack(profile)} as \"Pack\", "
         f"'{retailer}' as \"Retailer\" from ({source})"
     )
 
 
-def standard(source: str, profile: str) -> str:
-    priced = ordered(source) if profile == "tops" else filled(source)
+def standard(source: str, profile: str, keep: str = "") -> str:
+    priced = (ordered if profile == "tops" else filled)(source, "name, condition" + (f", {keep}" if keep else ""))
     if profile in ("7e", "tops"):
         priced = f"select distinct name, promotion_price, original_price, condition from ({priced})"
-    return parsed(priced, profile)
+    return parsed(priced, profile, keep)
 
 
 def first_of(source: str, key: str, order: str) -> str:
@@ -276,20 +276,25 @@ def scaled(value: str, scale: int) -> str:
 
 HAS_DATA = "seq%11<>0"
 HAS_ITEM = "seq%11<>0 and seq%7<>0"
+# An item object with any field: also one that the schema does not name, or a null.
+NOT_EMPTY = "seq%11<>0 and (seq%7<>0 or seq%17=0 or seq%19=0)"
+HALF = "case when seq%13=0 then 0.5 else 0.0 end"
 FEED_FLAT = (
     f"select case when {HAS_ITEM} then cast(seq as varchar) end as item_id, "
     f"case when {HAS_ITEM} then cast(seq%100 as varchar) end as shop_id, "
     f"case when {HAS_ITEM} then name end as title, "
-    f"case when {HAS_ITEM} then {scaled('(seq+1)*12345', 100000)} end as price, "
-    f"case when {HAS_ITEM} and seq%5<>0 then {scaled('(seq+1)*23456', 100000)} end as "
+    f"case when {HAS_ITEM} then {scaled('(seq+1)*12345+' + HALF, 100000)} end as price, "
+    f"case when {HAS_ITEM} and seq%5<>0 then {scaled('(seq+1)*23456+' + HALF, 100000)} end as "
     "price_before_discount from listing"
 )
 FEED_OPTIONAL = (
-    "select cast(seq as varchar) as item_id, cast(seq%100 as varchar) as shop_id, name as title, family_name as title_tr, "
-    "'VND' as currency, cast(seq%50 as double)/10 as rating_star, "
-    f"case when seq%6<>0 then {scaled('(seq+1)*1234567', 100000000)} end as price, "
-    f"case when seq%8<>0 then {scaled('(seq+1)*7654321', 100000000)} end as price_before_discount "
-    f"from listing where {HAS_ITEM}"
+    f"select case when {HAS_ITEM} then cast(seq as varchar) end as item_id, "
+    f"case when {HAS_ITEM} then cast(seq%100 as varchar) end as shop_id, "
+    f"case when {HAS_ITEM} then name end as title, case when {HAS_ITEM} then family_name end as title_tr, "
+    f"case when {HAS_ITEM} then 'VND' end as currency, case when {HAS_ITEM} then cast(seq%50 as double)/10 end as rating_star, "
+    f"case when {HAS_ITEM} and seq%6<>0 then {scaled('(seq+1)*1234567', 100000000)} end as price, "
+    f"case when {HAS_ITEM} and seq%8<>0 then {scaled('(seq+1)*7654321', 100000000)} end as price_before_discount "
+    f"from listing where {NOT_EMPTY}"
 )
 FEED_MODELS = (
     "select cast(seq as varchar) as item_id, seq*10+i as model_id, family_name||' / '||i as name, "

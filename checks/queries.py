@@ -189,7 +189,8 @@ def extract_heading(spark, folder):
     "blocked_pages",
     f"select cast(page_id as integer) as url_no, trim(case page_id%10 when 1 then 'Just a moment... ' "
     "when 3 then 'You are BLOCKED ' when 5 then 'Privacy Preference Center ' else '' end || "
-    f"{_H1}) as h1 from pages where page_id%10 in (1, 3, 5, 7)",
+    f"{_H1}) as h1 from pages where case page_id%3 when 0 then page_id%10 in (1, 7) "
+    "when 1 then page_id%10 in (1, 3) else page_id%10 = 5 end",
 )
 def blocked_pages(spark, folder):
     return shop_pages.blocked_pages(inputs.driver_pages(spark, folder)).select("url_no", "h1")
@@ -298,9 +299,13 @@ def paged(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@check("drop_repeated_pages", on_listing(_PAGED))
+# One catalogue has an empty page 2, which ends it.
+@check("drop_repeated_pages", on_listing(f"select * from ({_PAGED}) where not (url like '%/1' and page_no >= 2)"))
 def drop_repeated_pages(spark, folder):
-    return dedupe.drop_repeated_pages(paged(spark, folder)).select("url", "page_no", "pos", "name")
+    rows = paged(spark, folder)
+    pages = rows.select("url", "page_no").distinct()
+    shown = rows.where("not (url like '%/1' and page_no = 2)")
+    return dedupe.drop_repeated_pages(shown, pages).select("url", "page_no", "pos", "name")
 
 
 # -- scalar rules -------------------------------------------------------------------
@@ -514,17 +519,22 @@ def json_explode_models(spark, folder):
     return nested.json_explode_models(items(spark, folder))
 
 
-@check("json_nonempty", on_listing(f"select cast(seq as varchar) as item_id from listing where {oracle.HAS_ITEM}"))
+@check(
+    "json_nonempty",
+    on_listing(
+        f"select case when {oracle.HAS_ITEM} then cast(seq as varchar) end as item_id from listing where {oracle.NOT_EMPTY}"
+    ),
+)
 def json_nonempty(spark, folder):
     return nested.json_nonempty(items(spark, folder)).select(F.col("data.data.item.item_id").alias("item_id"))
 
 
 @check(
     "item_lookup",
-    on_listing(f"select * from ({oracle.FEED_FLAT}) where item_id = '143' and shop_id = '43'"),
+    on_listing(f"select * from ({oracle.FEED_FLAT}) where item_id = '142' and shop_id = '42'"),
 )
 def item_lookup(spark, folder):
-    return filters.item_lookup(nested.json_flatten(items(spark, folder)), 143, 43)
+    return filters.item_lookup(nested.json_flatten(items(spark, folder)), 142, 42)
 
 
 _DICTIONARY = "select distinct family_name as product_name_vi, upper(family_name) as translated from listing where seq%2=0"
@@ -717,11 +727,11 @@ def run_summary(spark, folder):
 @check(
     "new_items_per_page",
     on_listing(
-        "select p.page_no, coalesce(n, 0) as new_items from (select distinct page_no from paged) p left join "
-        "(select page_no, count(*) as n from (select * from paged qualify row_number() over "
-        "(partition by name order by page_no, pos) = 1) group by 1) f on p.page_no = f.page_no",
-        paged="select cast(seq//50 as integer) as page_no, seq%50 as pos, family_name as name from listing "
-        "union all select cast(seq//50 as integer) + 1000000, seq%50, family_name from listing",
+        "select p.url, p.page_no, coalesce(n, 0) as new_items from (select distinct url, page_no from paged) p left join "
+        "(select url, page_no, count(*) as n from (select * from paged qualify row_number() over "
+        "(partition by url, name order by page_no, pos) = 1) group by 1, 2) f on p.url = f.url and p.page_no = f.page_no",
+        paged="select u as url, cast(seq//50 as integer) + r*1000000 as page_no, seq%50 as pos, family_name as name "
+        "from listing, (values ('/a'), ('/b'), ('/c')) c(u), (values (0), (1)) d(r)",
     ),
 )
 def new_items_per_page(spark, folder):
@@ -732,7 +742,8 @@ def new_items_per_page(spark, folder):
         F.col("family_name").alias("name"),
     )
     again = rows.withColumn("page_no", F.col("page_no") + 1000000)
-    return dedupe.new_items_per_page(rows.unionByName(again), ["page_no", "pos"])
+    url = F.explode(F.array(*map(F.lit, ("/a", "/b", "/c"))))  # three catalogues of the same names
+    return dedupe.new_items_per_page(rows.unionByName(again).withColumn("url", url), ["page_no", "pos"])
 
 
 @check(
@@ -819,12 +830,17 @@ for _profile in RETAILERS:
 
 
 def makro_tables(spark: SparkSession, folder: str, keep: bool = False) -> shops.Tables:
+    """Of the watched product pages, some were never stored, some have no markup and some refused markup."""
+    pages = inputs.details_makro(spark, folder)
+    number = F.col("url_no")
+    html = F.when(number % 23 == 5, F.lit(None)).when(number % 23 == 6, "<h1>Soap</h1><![nonsense x]]>").otherwise(F.col("html"))
     return shops.makro_run(
         inputs.cards_makro(spark, folder, "family_name"),
-        inputs.details_makro(spark, folder),
+        pages.where(number % 23 != 4).withColumn("html", html),
         search_list(spark, folder),
         RUN_DATE,
         keep,
+        pages.select("url"),
     )
 
 
@@ -833,9 +849,12 @@ _MAKRO_CARDS = (
     "select name, promotion_price, nullif(original_price, promotion_price) as original_price, condition "
     f"from ({_MAKRO_CATALOGUE})"
 )
+_FAILED = "p.url_no%23 in (4, 5, 6)"
 _MAKRO_WATCHED = (
-    f"select p.name, {oracle.num('p.promotion_text')} as promotion_price, "
-    f"{oracle.num('p.original_text')} as original_price, c.condition "
+    f"select case when not {_FAILED} then p.name end as name, "
+    f"case when not {_FAILED} then {oracle.num('p.promotion_text')} end as promotion_price, "
+    f"case when not {_FAILED} then {oracle.num('p.original_text')} end as original_price, "
+    f"case when not {_FAILED} then c.condition end as condition "
     f"from ({oracle.PRICE_MAKRO}) p left join ({oracle.TIERS_MAKRO}) c on p.url = c.url"
 )
 _MAKRO_LISTING = oracle.standard(f"{_MAKRO_CARDS} union all {_MAKRO_WATCHED}", "makro")
@@ -864,6 +883,13 @@ def run_makro_watchlist(spark, folder):
     return makro_tables(spark, folder)["watchlist"]
 
 
+@check("run_makro_failed_pages", on_listing(
+    oracle.standard(f"select * from ({_MAKRO_WATCHED}) where name is null", "makro")
+))
+def run_makro_failed_pages(spark, folder):
+    return makro_tables(spark, folder)["watchlist"].where("name is null")
+
+
 @check("run_makro_search", on_listing(oracle.searched(oracle.search_list(), _MAKRO_LISTING)))
 def run_makro_search(spark, folder):
     return makro_tables(spark, folder, keep=True)["search"]
@@ -923,7 +949,8 @@ def lotus_tables(spark: SparkSession, folder: str, keep: bool = False) -> shops.
 
 
 _LOTUS_WATCHED = (
-    "select case when d.name is null then 'Blocked or Not Found' else d.name end as name, d.promotion_price, "
+    "select 'https://shop.example/p/'||l.seq as url, "
+    "case when d.name is null then 'Blocked or Not Found' else d.name end as name, d.promotion_price, "
     "d.original_price, d.condition from listing l left join "
     f"({oracle.DETAIL_LOTUS}) d on d.url_no = l.seq"
 )
@@ -937,7 +964,7 @@ def run_lotus(spark, folder):
     return lotus_tables(spark, folder)["listing"]
 
 
-@check("run_lotus_watchlist", on_listing(oracle.standard(_LOTUS_WATCHED, "lotus")))
+@check("run_lotus_watchlist", on_listing(oracle.standard(_LOTUS_WATCHED, "lotus", keep="url")))
 def run_lotus_watchlist(spark, folder):
     return lotus_tables(spark, folder)["watchlist"]
 
@@ -968,7 +995,7 @@ def run_7e(spark, folder):
 )
 def run_7e_with_catalogue(spark, folder):
     return shops.seven_eleven_run(
-        inputs.catalogue_7e(spark, folder), inputs.details_7e(spark, folder), RUN_DATE, just_watchlist=False
+        inputs.catalogue_7e(spark, folder), inputs.details_7e(spark, folder), RUN_DATE, just_watchlist=False, keep=True
     )["listing"]
 
 
@@ -1100,7 +1127,5 @@ def sightings_dedupe_first(spark, folder):
 )
 def sightings_search_join(spark, folder):
     wanted = search_list(spark, folder, "name")
-    placeholder = table(spark, folder, "region").where("r_regionkey = 0").select(
-        F.lit("Unknown").alias("product_name")
-    )
+    placeholder = tables.search_names(spark, ["Unknown"])
     return joins.search_join(wanted.unionByName(placeholder), sighting_prices(spark, folder))

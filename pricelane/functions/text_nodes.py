@@ -45,20 +45,20 @@ def _number(text: Column) -> Column:
     return F.when(text.rlike(plain), latin.try_cast("double"))
 
 
-def texts_name(texts: Column) -> Column:
-    """The first longer text that is no price, points or delivery note."""
+def texts_name(texts: Column, longer_than: int = 10) -> Column:
+    """The first text of more than ``longer_than`` characters that is no price, points or delivery note."""
     return _first(
         texts,
-        lambda t: (F.length(t) > 10)
+        lambda t: (F.length(t) > longer_than)
         & ~t.contains("฿")
         & ~F.lower(t).contains("points")
         & ~t.contains("Today"),
     )
 
 
-def texts_prices(texts: Column) -> Column:
-    """All numbers in the price range, in page order."""
-    low, high = PRICE_RANGE
+def texts_prices(texts: Column, between: tuple[float, float] = PRICE_RANGE) -> Column:
+    """All numbers inside the open range ``between``, in page order."""
+    low, high = between
     candidates = F.filter(
         texts, lambda t: has_digit(t) & ~contains_any(F.lower(t), NOT_A_PRICE_WORDS)
     )
@@ -71,13 +71,13 @@ def texts_condition(texts: Column, tagged: Column) -> Column:
     return F.coalesce(tagged, _first(texts, _names_units))
 
 
-def price_lines(lines: Column, name: Column) -> Column:
-    """Number lines shortly after the product code, else after the name's last line."""
+def price_lines(lines: Column, name: Column, window_lines: int = PRICE_LINE_WINDOW) -> Column:
+    """Number lines among ``window_lines`` after the product code, else after the name's last line."""
     coded = _first_position(lines, lambda t: t.contains("Code :") | t.contains("Code:"))
     named = F.array_max(
         F.transform(lines, lambda t, i: F.when((name != "") & t.contains(name), i + 1))
     )
-    window = _after(lines, F.coalesce(coded, named.cast("bigint")), PRICE_LINE_WINDOW)
+    window = _after(lines, F.coalesce(coded, named.cast("bigint")), window_lines)
     return F.filter(F.transform(window, _bare), lambda t: t.rlike(r"(?U)^\d+(\.\d+)?\z"))
 
 
@@ -87,16 +87,18 @@ def price_line_pair(found: Column) -> tuple[Column, Column]:
     return first, F.coalesce(F.get(found, F.lit(1)), first)
 
 
-def quantity_tiers(texts: Column) -> Column:
+def quantity_tiers(texts: Column, window_texts: int = TIER_WINDOW) -> Column:
     """Unit label -> price text from the "buy more, save more" block, as a map.
 
+    The block is the ``window_texts`` texts after its heading.
+
     Labels and prices pair up in order; a repeated label keeps its last price
     and its first place.
     """
     anchor = _first_position(
         texts, lambda t: F.lower(t).contains("buy more") & F.lower(t).contains("save more")
     )
-    block = _after(texts, anchor, TIER_WINDOW)
+    block = _after(texts, anchor, window_texts)
     return bind(block, lambda b: bind(_tier_pairs(b), _tier_map))
 
 

@@ -16,8 +16,9 @@ def page_url(base: Column, page_no: Column) -> Column:
     return F.concat(clean, joint, page_no.cast("string"))
 
 
-def url_short(url: Column) -> Column:
-    return F.substring(F.substring_index(url, "/", -1), 1, 50)
+def url_short(url: Column, characters: int = 50) -> Column:
+    """The last part of an address, cut to ``characters``."""
+    return F.substring(F.substring_index(url, "/", -1), 1, characters)
 
 
 def is_merged_url(url: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -72,10 +73,13 @@ def select_canonical(df: DataFrame, renames: dict[str, str] | None = None) -> Da
     return df.withColumnsRenamed(renames or {}).select(*PRICE_COLUMNS)
 
 
-def parse_names(df: DataFrame, profile: str, run_date: datetime.date) -> DataFrame:
+def parse_names(
+    df: DataFrame, profile: str, run_date: datetime.date, keep: Sequence[str] = ()
+) -> DataFrame:
     """Add the run date, brand, volume, unit, pack size and retailer.
 
     The 7-Eleven profile reads brands from its list and empties ``condition``.
+    Columns named in ``keep`` stay, before the others.
     """
     name = F.col("name")
     seven = profile == "7e"
@@ -91,7 +95,7 @@ def parse_names(df: DataFrame, profile: str, run_date: datetime.date) -> DataFra
     )
     if seven:
         parsed = parsed.withColumn("condition", F.lit(None).cast("string"))
-    return parsed.select(*LISTING_COLUMNS)
+    return parsed.select(*keep, *LISTING_COLUMNS)
 
 
 def parse_names_go(df: DataFrame, name: str = "product_name_en") -> DataFrame:
@@ -105,8 +109,10 @@ def parse_names_go(df: DataFrame, name: str = "product_name_en") -> DataFrame:
     )
 
 
-def standardize(df: DataFrame, profile: str, run_date: datetime.date) -> DataFrame:
-    """Typed price rows to standard listing rows, by the shop's rules.
+def standardize(
+    df: DataFrame, profile: str, run_date: datetime.date, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Typed price rows to standard listing rows, by the shop's rules; ``keep`` columns come first.
 
     Tops shows its prices in either order, so they are put in order; the other
     shops only fill. 7-Eleven and Tops tables hold each row once.
@@ -114,7 +120,7 @@ def standardize(df: DataFrame, profile: str, run_date: datetime.date) -> DataFra
     if profile not in NAME_PROFILES or profile not in RETAILERS:
         raise ValueError(f"unknown shop profile: {profile}")
     priced = reevaluate_price_swap(df) if profile == "tops" else reevaluate_price(df)
-    rows = priced.select(*PRICE_COLUMNS)
+    rows = priced.select(*keep, *PRICE_COLUMNS)
     if profile in ("7e", "tops"):
         rows = rows.distinct()
-    return parse_names(rows, profile, run_date)
+    return parse_names(rows, profile, run_date, keep)

@@ -11,8 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelane.operators.joins import lookup_join
-from pricelane.session import stored
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:
@@ -29,44 +27,49 @@ def dedupe_first(
     """The first row of each key by ``order`` (which must be unique within a key).
 
     ``min_by`` keeps one row per key and task before the shuffle, so a hot key
-    costs no more than any other. Null keys form one group.
+    costs no more than any other. Null keys form one group; a null order value
+    comes first.
     """
     if list(df.columns) == list(keys):
         return df.distinct()
-    rank = F.col(order[0]) if len(order) == 1 else F.struct(*order)
-    first = F.min_by(F.struct(*df.columns), rank)
+    first = F.min_by(F.struct(*df.columns), F.struct(*order))  # a struct is never null
     return df.groupBy(*keys).agg(first.alias("row")).select("row.*")
 
 
 def seen_anti(df: DataFrame, seen: DataFrame, key: str = "name") -> DataFrame:
     """Rows whose key is not in the ``seen`` table (rows without a key stay)."""
-    known = seen.select(key).distinct().withColumn("seen", F.lit(True))
-    return lookup_join(df, known, key).where(F.col("seen").isNull()).select(*df.columns)
+    return df.join(seen.select(key), key, "left_anti").select(*df.columns)
 
 
-def new_items_per_page(rows: DataFrame, order: Sequence[str]) -> DataFrame:
-    """How many names each page shows for the first time; pages without any show 0."""
-    columns = dict.fromkeys(["page_no", "name", *order])
-    firsts = dedupe_first(rows.select(*columns), order)
-    fresh = firsts.groupBy("page_no").agg(F.count("*").alias("new_items"))
+def new_items_per_page(
+    rows: DataFrame, order: Sequence[str], catalogue: Sequence[str] = ("url",)
+) -> DataFrame:
+    """How many names each page shows first in its catalogue; pages without any show 0.
+
+    Catalogues are told apart by ``catalogue``. With none, a name counts once over all.
+    """
+    page = [*catalogue, "page_no"]
+    columns = dict.fromkeys([*page, "name", *order])
+    firsts = dedupe_first(rows.select(*columns), order, keys=(*catalogue, "name"))
+    fresh = firsts.groupBy(*page).agg(F.count("*").alias("new_items"))
     return (
-        rows.select("page_no")
+        rows.select(*page)
         .distinct()
-        .join(fresh, "page_no", "left")
-        .select("page_no", F.coalesce("new_items", F.lit(0)).alias("new_items"))
+        .join(fresh, page, "left")
+        .select(*page, F.coalesce("new_items", F.lit(0)).alias("new_items"))
     )
 
 
-def drop_repeated_pages(rows: DataFrame) -> DataFrame:
-    """Rows before the first page of a catalogue that repeats the page before it.
+def drop_repeated_pages(rows: DataFrame, pages: DataFrame | None = None) -> DataFrame:
+    """Rows before the end of each catalogue: its first repeated or empty page.
 
     ``rows`` has ``url, page_no, pos, name``. A shop that answers past its
     last page with that page again ends the catalogue there. Pages compare as
     (position, name) pairs: a fingerprint per page finds candidates, and only
     those are compared name by name, so equal fingerprints never decide alone.
-    The two small page tables are stored, which lets Spark broadcast them; so
-    only rows of candidate pages are ever shuffled. Reads ``rows`` three times:
-    pass a stored table, not an extraction.
+    ``pages`` has ``url, page_no`` of all collected pages; one without rows is
+    empty and ends its catalogue as well. Reads ``rows`` several times: pass a
+    stored table, not an extraction.
     """
     page = ["url", "page_no"]
     prints = rows.groupBy(*page).agg(
@@ -75,7 +78,7 @@ def drop_repeated_pages(rows: DataFrame) -> DataFrame:
     )
     earlier = prints.select("url", (F.col("page_no") + 1).alias("page_no"), "size", "mark")
     same_print = prints.join(earlier, [*page, "size", "mark"]).select(*page, "size")
-    candidates = stored(same_print, "candidate-pages")
+    candidates = same_print
 
     shown = rows.select(*page, "pos", "name")
     shifted = shown.withColumn("page_no", F.col("page_no") + 1)
@@ -84,10 +87,12 @@ def drop_repeated_pages(rows: DataFrame) -> DataFrame:
         [*page, "pos"],
     )
     agreed = F.count_if(F.col("name").eqNullSafe(F.col("before")))
-    repeats = both.groupBy(*page, "size").agg(agreed.alias("agreed")).where("agreed = size")
-    ends = repeats.groupBy("url").agg(F.min("page_no").alias("end_page"))
+    ends = both.groupBy(*page, "size").agg(agreed.alias("agreed")).where("agreed = size").select(*page)
+    if pages is not None:
+        ends = ends.unionByName(pages.select(*page).join(prints.select(*page), page, "left_anti"))
+    first_end = ends.groupBy("url").agg(F.min("page_no").alias("end_page"))
     return (
-        lookup_join(rows, stored(ends, "end-pages"), "url")
+        rows.join(first_end, "url", "left")
         .where(F.col("end_page").isNull() | (F.col("page_no") < F.col("end_page")))
-        .drop("end_page")
+        .select(*rows.columns)
     )

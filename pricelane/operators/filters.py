@@ -42,12 +42,15 @@ def tops_name_ok(title: Column, heading: Column) -> Column:
     return F.coalesce(named & ~contains_any(F.lower(heading), TOPS_BLOCK_TITLES), F.lit(False))
 
 
-def is_blocked(h1: Column, html_ok: Column) -> Column:
-    """A challenge or consent page of any shop, by its heading or its markup."""
-    bigc = h1.contains(BIGC_BLOCK_TITLE) | ~html_ok
-    tops = contains_any(F.lower(h1), TOPS_BLOCK_TITLES)
-    lotus = h1.isNull() | h1.contains(LOTUS_BLOCK_TITLE)
-    return bigc | tops | lotus
+def is_blocked(h1: Column, html_ok: Column, retailer: Column) -> Column:
+    """A challenge or consent page by its shop's own rule; shops without a rule block nothing."""
+    shop = F.lower(retailer)
+    return (
+        F.when(shop == "bigc", F.coalesce(h1.contains(BIGC_BLOCK_TITLE), F.lit(False)) | ~html_ok)
+        .when(shop == "tops", F.coalesce(contains_any(F.lower(h1), TOPS_BLOCK_TITLES), F.lit(False)))
+        .when(shop == "lotus", h1.isNull() | h1.contains(LOTUS_BLOCK_TITLE))
+        .otherwise(F.lit(False))
+    )
 
 
 def valid_names(df: DataFrame, name: str = "name") -> DataFrame:

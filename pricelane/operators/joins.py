@@ -5,51 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelane.session import estimated_bytes, fits_broadcast
 
-# Copies of a lookup entry that a hot key's rows spread over.
-SALTS = 32
-
-
-def lookup_join(df: DataFrame, table: DataFrame, key: str, salts: int = SALTS) -> DataFrame:
-    """Left join to a table that has each ``key`` once.
-
-    A table Spark can broadcast is left to Spark. A larger one is copied
-    ``salts`` times and rows pick a copy by their own content, so the rows of
-    one hot key (or of no key at all) spread over that many tasks. When the
-    copies would outweigh the rows themselves, the plain join is cheaper, and
-    adaptive execution splits its skewed left partitions.
-    """
-    if fits_broadcast(table) or estimated_bytes(table) * salts > estimated_bytes(df):
-        return df.join(table, key, "left")
-    copies = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salted = df.withColumn("salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
-    return salted.join(copies, [key, "salt"], "left").drop("salt")
+def once(table: DataFrame, key: str, value: str) -> DataFrame:
+    """A lookup table with each ``key`` once; of several values the smallest counts."""
+    return table.groupBy(key).agg(F.min(value).alias(value))
 
 
 def badge_map(df: DataFrame, labels: DataFrame, keep_unknown: bool = False) -> DataFrame:
     """Set ``condition`` to the label of ``badge_url``.
 
-    ``labels`` has ``badge_url, label``, each address once. Unknown addresses
-    give null, or keep the address with ``keep_unknown``; a known address whose
-    label is null gives null either way.
+    ``labels`` has ``badge_url, label``; an address with several labels gets the
+    smallest. Unknown addresses give null, or keep the address with
+    ``keep_unknown``; a known address whose label is null gives null either way.
+    A plain left join: adaptive execution splits the rows of a hot address.
     """
-    if not keep_unknown:
-        found = lookup_join(df.drop("condition"), labels, "badge_url")
-        return found.withColumnRenamed("label", "condition")
-    found = lookup_join(
-        df.drop("condition"), labels.withColumn("known", F.lit(True)), "badge_url"
-    )
-    label = F.when(F.col("known"), F.col("label")).otherwise(F.col("badge_url"))
-    return found.withColumn("condition", label).drop("label", "known")
+    known = once(labels, "badge_url", "label").withColumn("known", F.lit(True))
+    found = df.drop("condition").join(known, "badge_url", "left")
+    other = F.col("badge_url") if keep_unknown else F.lit(None).cast("string")
+    return found.withColumn("condition", F.when(F.col("known"), F.col("label")).otherwise(other)).drop("label", "known")
 
 
 def translate_lookup(df: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Add ``product_name_en``; names without a translation stay as they are.
 
-    ``dictionary`` has ``product_name_vi, translated``, each name once.
+    ``dictionary`` has ``product_name_vi, translated``; a name with several
+    translations gets the smallest.
     """
-    found = lookup_join(df, dictionary, "product_name_vi")
+    found = df.join(once(dictionary, "product_name_vi", "translated"), "product_name_vi", "left")
     english = F.coalesce("translated", "product_name_vi")
     return found.withColumn("product_name_en", english).drop("translated")
 
@@ -69,30 +51,22 @@ def found_flag(search: DataFrame, listing: DataFrame) -> DataFrame:
 
 
 def _wanted_rows(offered: DataFrame, search: DataFrame) -> DataFrame:
-    """Distinct ``offered`` rows whose ``product_name`` is searched.
-
-    With few searched names the rows are cut down before the distinct; with
-    many, the distinct comes first, so that a hot name is already small when
-    rows are shuffled by name.
-    """
-    wanted = search.select("product_name").distinct()
-    if fits_broadcast(search):
-        return offered.join(wanted, "product_name", "left_semi").distinct()
-    return offered.distinct().join(wanted, "product_name", "left_semi")
+    """Distinct ``offered`` rows whose ``product_name`` is searched."""
+    return offered.distinct().join(search.select("product_name").distinct(), "product_name", "left_semi")
 
 
 def search_join(search: DataFrame, listing: DataFrame) -> DataFrame:
     """Distinct price pairs of each searched name, or one empty row if it is absent.
 
-    Matches are found by a semi join, never by a join that multiplies rows.
+    Matches are found by a semi join, never by a join that multiplies rows. The
+    listing is read once: the names that are absent are those without a match,
+    and Spark reuses the shuffle of the matches for them.
     """
-    wanted = search.select("product_name").distinct()
     offered = listing.select(
         F.col("name").alias("product_name"), "original_price", "promotion_price"
     )
     matched = _wanted_rows(offered, search)
-    present = _wanted_rows(offered.select("product_name"), search)
-    absent = wanted.join(present, "product_name", "left_anti")
+    absent = search.select("product_name").distinct().join(matched.select("product_name"), "product_name", "left_anti")
     return matched.withColumn("Found", F.lit(True)).unionByName(
         absent.select(
             "product_name",

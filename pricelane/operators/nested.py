@@ -14,38 +14,38 @@ from pricelane.functions.prices import scaled_price
 
 _MODEL = (
     "struct<item_id: bigint, model_id: bigint, name: string, name_tr: string, "
-    "price: bigint, status: int, has_stock: boolean>"
+    "price: double, status: int, has_stock: boolean>"
 )
-_PRICE = "struct<single_value: bigint>"
+_PRICE = "struct<single_value: double>"
 FEED_SCHEMA = (
     "data struct<data: struct<"
     "item: struct<item_id: bigint, shop_id: bigint, title: string, title_tr: string, "
-    "currency: string, price: bigint, price_before_discount: bigint, "
+    "currency: string, price: double, price_before_discount: double, "
     f"item_rating: struct<rating_star: double>, models: array<{_MODEL}>>, "
     f"product_price: struct<price: {_PRICE}, price_before_discount: {_PRICE}>>>"
 )
-ITEM_FIELDS = (
-    "item_id", "shop_id", "title", "title_tr", "currency", "price", "price_before_discount",
-    "item_rating", "models",
-)
 ITEM = "data.data.item"
 PRICE = "data.data.product_price"
 
 
 def json_items(df: DataFrame, text: str = "json") -> DataFrame:
-    """Parse a column of feed records; unreadable records have a null ``data``."""
-    return df.withColumn("record", F.from_json(text, FEED_SCHEMA)).select("*", "record.data").drop(
-        "record", text
-    )
+    """Parse a column of feed records; unreadable records have a null ``data``.
+
+    ``has_item`` tells whether the record's item object has any field at all, also
+    one that the schema does not name. Amounts may be fractional.
+    """
+    fields = F.from_json(text, "data struct<data: struct<item: map<string, string>>>")
+    return df.withColumns(
+        {
+            "record": F.from_json(text, FEED_SCHEMA),
+            "has_item": F.coalesce(F.size(fields["data"]["data"]["item"]) > 0, F.lit(False)),
+        }
+    ).select("*", "record.data").drop("record", text)
 
 
 def json_nonempty(items: DataFrame) -> DataFrame:
-    """Records that carry an item with at least one field."""
-    filled = [F.col(f"{ITEM}.{field}").isNotNull() for field in ITEM_FIELDS]
-    any_field: Column = filled[0]
-    for condition in filled[1:]:
-        any_field = any_field | condition
-    return items.where(any_field)
+    """Records that carry an item with at least one field, whatever its name."""
+    return items.where("has_item")
 
 
 def json_flatten(items: DataFrame) -> DataFrame:

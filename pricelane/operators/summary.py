@@ -40,13 +40,14 @@ def watchlist_coverage(watchlist: DataFrame, attempts: DataFrame) -> DataFrame:
 
     ``attempts`` has ``url, attempt, ok`` and the price columns. The last good
     attempt is kept per task before the shuffle, so retries of one address
-    never gather.
+    never gather. A null attempt number is before all others; equal numbers are
+    told apart by their values.
     """
     columns = ["name", "promotion_price", "original_price", "condition"]
     good = attempts.where(F.col("ok")).withColumn("collected", F.lit(True))
     latest = (
         good.groupBy("url")
-        .agg(F.max_by(F.struct("collected", *columns), "attempt").alias("row"))
+        .agg(F.max_by(F.struct("collected", *columns), F.struct("attempt", *columns)).alias("row"))
         .select("url", "row.*")
     )
     name = F.when(F.col("collected"), F.col("name")).otherwise(NOT_COLLECTED)

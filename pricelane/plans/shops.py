@@ -34,16 +34,29 @@ def makro_catalogue(pages: DataFrame) -> DataFrame:
     return cards.transform(cleaning.nullify_fake_original).transform(cleaning.with_discount_pct)
 
 
+def watched_rows(watchlist: DataFrame, products: DataFrame) -> DataFrame:
+    """One row per watched address: its first product row, or nulls."""
+    firsts = dedupe.dedupe_first(products, SCRAPE_ORDER, keys=("url",))
+    return watchlist.select("url").distinct().join(firsts, "url", "left")
+
+
 def makro_run(
     category_pages: DataFrame,
     product_pages: DataFrame,
     search: DataFrame,
     run_date: datetime.date,
     keep: bool = False,
+    watchlist: DataFrame | None = None,
 ) -> Tables:
+    """``watchlist`` has the watched addresses, ``url``: each has one row in the
+    watchlist table and the listing, with nulls if its page is absent, has no
+    markup or markup that no parser reads.
+    """
     hold = _keeper(keep)
     catalogue = cleaning.consistent_schema(makro_catalogue(category_pages))
     products = cleaning.read_prices(shop_pages.extract_product_makro(product_pages), "makro")
+    if watchlist is not None:
+        products = watched_rows(watchlist, products)
     watched = hold(cleaning.consistent_schema(products), "makro-watchlist")
     rows = hold(union_sources(catalogue, watched), "makro-rows")
     listing = cleaning.standardize(rows, "makro", run_date)
@@ -101,18 +114,20 @@ def lotus_run(
     watched = hold(summary.watchlist_coverage(watchlist, attempts), "lotus-watchlist")
     return {
         "listing": cleaning.standardize(catalogue, "lotus", run_date),
-        "watchlist": cleaning.standardize(watched, "lotus", run_date),
+        "watchlist": cleaning.standardize(watched, "lotus", run_date, keep=("url",)),
         "search": joins.search_join(search, watched),
     }
 
 
-def seven_eleven_catalogue(pages: DataFrame) -> DataFrame:
-    """First sighting of each name over all catalogues, each cut where it repeats.
+def seven_eleven_catalogue(pages: DataFrame, keep: bool = False) -> DataFrame:
+    """First sighting of each name over all catalogues, each cut at its first repeated or empty page.
 
     The ``url`` of a page is its catalogue's address, without a page number.
+    The cards are read several times; ``keep`` stores them, which runs the page
+    walk while the plan is built.
     """
-    cards = stored(shop_pages.extract_card_7e(pages), "7e-cards")
-    fresh = dedupe.drop_repeated_pages(cards)
+    cards = _keeper(keep)(shop_pages.extract_card_7e(pages), "7e-cards")
+    fresh = dedupe.drop_repeated_pages(cards, pages)
     return dedupe.dedupe_first(cleaning.read_prices(fresh, "7e"), SCRAPE_ORDER)
 
 
@@ -129,7 +144,7 @@ def seven_eleven_run(
     if just_watchlist:
         rows = watched
     else:
-        catalogue = seven_eleven_catalogue(category_pages).select(*PRICE_COLUMNS)
+        catalogue = seven_eleven_catalogue(category_pages, keep).select(*PRICE_COLUMNS)
         rows = union_toggle(catalogue, watched, just_watchlist)
     return {
         "listing": cleaning.standardize(rows, "7e", run_date),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,20 +25,11 @@ def build_session(app_name: str = "pricelane", **settings: str) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach, named by ``spark.checkpoint.dir``.
-
-    Only a local session without that setting gets a temporary folder.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    context = spark.sparkContext
-    if context.getCheckpointDir():
-        return context.getCheckpointDir().rstrip("/")
-    if not context.master.startswith("local"):
+    """The folder all executors can reach, named by ``spark.checkpoint.dir``."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="pricelane-"))
-    return context.getCheckpointDir().rstrip("/")
+    return named.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -59,17 +49,23 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def clear_stored(spark: SparkSession, *labels: str) -> int:
+    """Delete the tables that ``stored`` wrote under these labels; call it when their readers are done."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    gone = 0
+    for label in labels:
+        found = jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{label}-*")
+        files = found.getFileSystem(conf)
+        for status in files.globStatus(found) or ():
+            gone += bool(files.delete(status.getPath(), True))
+    return gone
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Spark's own size estimate, from file or row sizes; nothing runs."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the size estimate lets Spark broadcast ``df``."""
-    conf = df.sparkSession._jsparkSession.sessionState().conf()
-    return estimated_bytes(df) <= conf.autoBroadcastJoinThreshold()
-
-
 def spread_small(df: DataFrame, *keys: str) -> DataFrame:
     """Give a small input one task per core before work that is heavy per row.
 

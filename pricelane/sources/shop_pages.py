@@ -54,14 +54,15 @@ Pieces = Callable[[HtmlTree], Iterator[dict]]
 
 
 def walk_pages(
-    pages: DataFrame, pieces: Pieces, fields: dict[str, str], flag: str | None = None
+    pages: DataFrame, pieces: Pieces, fields: dict[str, str], keep: dict[str, str] | None = None
 ) -> DataFrame:
     """Rows ``url_no, url, page_no, pos, <fields>`` that ``pieces`` finds in each page.
 
-    A page without markup, or with markup that no parser accepts, has no rows.
-    ``flag`` names a boolean column of ``pages`` to keep next to them.
+    A page without markup, or with markup that no parser accepts, has no rows;
+    ``rejected_pages`` names these. ``keep`` has further columns of ``pages`` to
+    keep next to the pieces, with their kinds.
     """
-    kept = {"url_no": "int", "url": "string", "page_no": "int"} | ({flag: "boolean"} if flag else {})
+    kept = {"url_no": "int", "url": "string", "page_no": "int"} | (keep or {})
     schema = pa.schema(
         [(name, _ARROW[kind]) for name, kind in (kept | {"pos": "int"}).items()]
         + [(name, _ARROW[kind]) for name, kind in fields.items()]
@@ -135,11 +136,41 @@ def extract_heading(pages: DataFrame) -> DataFrame:
 
 
 def blocked_pages(pages: DataFrame) -> DataFrame:
-    """Pages that hold a challenge or a consent banner instead of products."""
+    """Pages that hold a challenge or a consent banner instead of products, by ``retailer``'s rule."""
     flagged = pages.withColumn("html_ok", bigc_page_ok(F.col("html")))
-    rows = walk_pages(flagged, _heading_pieces, {"h1": TEXT}, flag="html_ok")
+    rows = walk_pages(flagged, _heading_pieces, {"h1": TEXT}, keep={"html_ok": "boolean", "retailer": "string"})
     heading = strip_ws(F.col("h1"))
-    return _result(rows.where(is_blocked(F.col("h1"), F.col("html_ok"))), h1=heading)
+    return _result(rows.where(is_blocked(F.col("h1"), F.col("html_ok"), F.col("retailer"))), h1=heading)
+
+
+def rejected_pages(pages: DataFrame) -> DataFrame:
+    """``retailer, url_no, url, page_no, reason`` of pages that no extraction can read.
+
+    Reasons are ``no markup`` and ``refused markup``. Each page has rows in a walk
+    or is named here; ``reject_counts`` sums up per shop.
+    """
+    page = ["retailer", "url_no", "url", "page_no"]
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bad = []
+            for html in batch.column("html").to_pylist():
+                try:
+                    HtmlTree(html)
+                    bad.append(False)
+                except AssertionError:
+                    bad.append(True)
+            yield batch.drop_columns(["html"]).filter(pa.array(bad))
+
+    wanted = pages.select(*page, "html")
+    kinds = dict(wanted.dtypes)
+    refused = wanted.where(F.col("html").isNotNull()).mapInArrow(walk, ", ".join(f"{c} {kinds[c]}" for c in page))
+    missing = wanted.where(F.col("html").isNull()).select(*page, F.lit("no markup").alias("reason"))
+    return missing.unionByName(refused.withColumn("reason", F.lit("refused markup")))
+
+
+def reject_counts(pages: DataFrame) -> DataFrame:
+    return rejected_pages(pages).groupBy("retailer", "reason").agg(F.count("*").alias("n_pages"))
 
 
 # -- 7-Eleven ---------------------------------------------------------------
@@ -211,11 +242,12 @@ def _card_makro_pieces(tree: HtmlTree):
         }
 
 
-def extract_card_makro(pages: DataFrame) -> DataFrame:
+def extract_card_makro(pages: DataFrame, min_texts: int = 3) -> DataFrame:
+    """Cards with a name and a price; a card with fewer than ``min_texts`` texts is no product."""
     rows = walk_pages(pages, _card_makro_pieces, {"texts": TEXTS, "offer": TEXT})
     texts = F.col("texts")
     found = _kept(
-        rows.where(F.size(texts) >= 3),
+        rows.where(F.size(texts) >= min_texts),
         lambda card: card["name"].isNotNull() & (F.size(card["prices"]) > 0),
         name=text_nodes.texts_name(texts),
         prices=text_nodes.texts_prices(texts),

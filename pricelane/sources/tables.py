@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelane.operators.nested import FEED_SCHEMA
+from pricelane.operators.nested import json_items
 
 PAGE_SCHEMA = (
     "retailer string, page_kind string, url_no int, url string, page_no int, "
@@ -14,6 +14,12 @@ PAGE_SCHEMA = (
 )
 
 
+DATED_SCHEMA = (
+    "name string, promotion_price double, original_price double, condition string, Brand string, "
+    "Volume double, Unit string, Pack string, Retailer string, Date date"
+)
+
+
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Stored page snapshots, one row per fetched page."""
     return spark.read.schema(PAGE_SCHEMA).parquet(path)
@@ -30,8 +36,13 @@ def search_names(spark: SparkSession, names: list[str]) -> DataFrame:
 
 
 def read_items(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Nested product feed: JSON lines, or JSON array files with ``multi_line``."""
-    return spark.read.schema(FEED_SCHEMA).option("multiLine", multi_line).json(path)
+    """Nested product feed: JSON lines, or JSON array files with ``multi_line``.
+
+    An array file is read by one task; turn large ones into JSON lines first.
+    """
+    raw = spark.read.schema("data string").option("multiLine", multi_line).json(path)
+    record = F.concat(F.lit('{"data":'), F.coalesce("data", F.lit("null")), F.lit("}"))
+    return json_items(raw.select(record.alias("json")))
 
 
 def write_dated(listing: DataFrame, path: str) -> None:
@@ -49,8 +60,11 @@ def write_dated(listing: DataFrame, path: str) -> None:
     )
 
 
-def read_dated(spark: SparkSession, path: str, columns: tuple[str, ...]) -> DataFrame:
-    return spark.read.parquet(path).withColumn("Date", F.col("Date").cast("date")).select(*columns)
+def read_dated(
+    spark: SparkSession, path: str, columns: tuple[str, ...], schema: str = DATED_SCHEMA
+) -> DataFrame:
+    """A stored listing; a folder without files gives no rows."""
+    return spark.read.schema(schema).parquet(path).select(*columns)
 
 
 # Quotes are doubled, outer spaces belong to the value.

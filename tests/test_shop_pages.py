@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from pricelane.sources import shop_pages
 
@@ -154,6 +155,15 @@ def test_refused_markup_does_not_stop_the_job(spark):
     assert got == [("Next",)]
 
 
+def test_every_page_has_rows_or_a_reason(spark):
+    df = pages(spark, "<h1>Soap</h1><![nonsense x]]>", "<h1>Next</h1>").withColumn("retailer", F.lit("makro"))
+    df = df.unionByName(df.limit(1).withColumn("html", F.lit(None).cast("string")))
+    bad = shop_pages.rejected_pages(df)
+    assert sorted(r["reason"] for r in bad.collect()) == ["no markup", "refused markup"]
+    assert shop_pages.extract_heading(df).count() + bad.count() == df.count()
+    assert sum(r["n_pages"] for r in shop_pages.reject_counts(df).collect()) == 2
+
+
 def test_markup_stays_out_of_results(spark):
     df = shop_pages.extract_card_lotus(pages(spark, "<p></p>"))
     assert df.columns == [
