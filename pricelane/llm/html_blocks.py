@@ -150,6 +150,7 @@ def page_blocks(pages: DataFrame, key: str = "page_id", url: str = "url", html:
 # -- the small labelled table ------------------------------------------------------
 _SHORT, _LONG = "Seven short words stand in this line.", "A longer paragraph goes on and on, with many words in every sentence, as articles do. " * 3
 _LINKS = '<ul><li><a href="/1">Home</a></li><li><a href="/2">News of today</a></li><li><a href="/3">All topics</a></li></ul>'
+_INNER = "<a href='/q'>a link of some words</a>"
 
 
 def _page(*parts: tuple[str, bool]) -> tuple[tuple[str, bool], ...]:
@@ -165,6 +166,13 @@ LABELLED_PAGES = (
     _page((f"<body><table><tr><td><a href='/'>Start</a></td><td><a href='/b'>Other things here</a></td></tr></table>", False), (f"<div><p>{_LONG}</p><p>{_LONG}</p><blockquote>{_LONG}</blockquote><p>{_LONG}</p></div>", True), (f"<form><p>{_SHORT}</p></form><div>&copy; 2020</div></body>", False)),
     _page((f"<body><nav>{_LINKS}</nav>", False), (f"<article><p>{_LONG}<a href='/q'>a link of some words</a></p><h2>{_SHORT}</h2><p>{_SHORT}</p><table><tr><td>Cell</td><td>{_SHORT}</td></tr></table></article>", True), (f"<section class='related'><h3>{_SHORT}</h3>{_LINKS}</section><div class='newsletter'><p>{_LONG}</p></div></body>", False)),
     _page((f"<body><article><header><p>{_SHORT}</p></header>", False), (f"<p>{_LONG}</p><p>{_SHORT}</p>", True), (f"<aside>{_LONG}</aside>", False), (f"<p>{_LONG}</p>", True), (f"<div class='share'>{_LINKS}</div><section id='comments'><h3>Replies</h3><p>{_LONG}</p></section></article></body>", False)),
+    _page((f"<body><nav>{_LINKS}</nav>", False), (f"<article><h1>Two words</h1><p>{_LONG}{_INNER}</p><h2>Three short words</h2><p>{_SHORT} {_INNER}</p><p>{_INNER} {_SHORT} {_INNER}</p><p>{_LONG}</p></article>", True), (f"<footer>{_LINKS}</footer></body>", False)),
+    _page((f"<body><div>{_LINKS}</div><div>{_INNER} | {_INNER}</div>", False), (f"<div><h1>{_SHORT}</h1><p>{_LONG}{_INNER}</p><p>{_LONG}{_INNER} {_INNER}</p><p>{_LONG}</p></div>", True), (f"<div>{_INNER} {_INNER}</div><div>{_INNER} | {_INNER}</div></body>", False)),
+    _page((f"<body><div>{_LINKS}</div><div>Menu</div>", False), (f"<article><h1>Two words</h1><div>One line</div><p>Two words</p><div>{_LONG}</div><h2>Word</h2><div>{_SHORT}</div>{_LONG}<div>{_LONG}{_INNER}</div><p>{_SHORT}</p></article>", True), ("<div>Log in</div></body>", False)),
+    _page((f"<body><div class='sidebar'>{_LONG}</div><div>Menu</div>", False), (f"<div class='content'><h1>Two words</h1>{_LONG}<h3>Word</h3><ul><li>Two words</li><li>Word</li></ul><div>{_SHORT} {_INNER}</div><div>{_LONG}</div></div>", True), ("<div>All rights reserved</div></body>", False)),
+    _page((f"<body><nav>{_LINKS}</nav>", False), (f"<article><h1>Two words</h1><p>{_LONG}</p></article></body>", True)),
+    _page((f"<body><article><h1>{_SHORT}</h1><p>{_LONG}</p><p>{_SHORT}</p></article></body>", True)),
+    _page((f"<body><article><h1>Two words</h1><p>Two words</p></article></body>", True)),
     _page(("<body><div>Menu</div><div>Log in</div>", False), (f"<div><p>{_LONG}</p><p>{_LONG}</p><p>{_LONG}</p></div>", True), ("<div>All rights reserved</div></body>", False)),
 )
 
