@@ -7,6 +7,7 @@ import types
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,7 +39,7 @@ def native_words(text: Column) -> Column:
 
 def slices(batch: pa.RecordBatch, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Runs of rows that stay below ``limit`` bytes of the ``text`` column, one row at least."""
-    lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column("text")), 0).to_pylist()
+    lengths = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()
     start = size = 0
     for at, length in enumerate(lengths):
         if size + length > limit and at > start:
