@@ -168,11 +168,12 @@ def train(docs: DataFrame, labels: DataFrame, rows_of_each: int = SAMPLE_ROWS) -
     rows, sizes = labelled_sample(docs, labels, rows_of_each)
     sample = rows.toArrow()
     toxic = np.array(sample.column("toxic").to_pylist(), bool)
-    features = [np.array(f, np.int64) for f in sample.column("features").to_numpy()] if len(toxic) else []
+    features = [np.sort(f) for f in sample.column("features").to_numpy()] if len(toxic) else []
+    del sample  # the driver keeps one copy
     if not toxic.any() or toxic.all():
         return OrdinalModel({}, np.full(GRADES - 1, 30.0))
-    order = np.lexsort(([zlib.crc32(f.tobytes()) for f in map(np.sort, features)], toxic))  # not the order of arrival
-    features, toxic = [np.sort(features[i]) for i in order], toxic[order]
+    order = np.lexsort(([zlib.crc32(f.tobytes()) for f in features], toxic))  # not the order of arrival
+    features, toxic = [features[i] for i in order], toxic[order]
     chosen = Sample(features, toxic)
     weights, thresholds = fit_ordinal(chosen.kept(chosen.wanted()), chosen.grades())
     thinned = np.log(sizes[0] / sizes[1]) - np.log((~toxic).sum() / toxic.sum())
