@@ -92,26 +92,32 @@ def sampled(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
     return text, place, first, last, seeds[place], around
 
 
-ENTRY = np.dtype([("seed", "<u8"), ("around", "<u4"), ("doc", "<i8"), ("place", "<u4"), ("before", "u1"), ("more", "u1")])
+ENTRY = np.dtype([("seed", "<u8"), ("around", "<u8"), ("doc", "<i8"), ("place", "<u4"), ("before", "u1"), ("more", "u1")])
 
 
 def pack(entries: np.ndarray) -> bytes:
-    """Entries column by column, keys and places in as few bytes as they need."""
+    """Entries column by column; steps from seed to seed, keys and places in as few bytes as they need."""
     least = int(entries["doc"].min())
     far = entries["doc"].astype(np.uint64) - np.uint64(least % (1 << 64))
-    kinds = []
-    parts = [entries["seed"].tobytes(), entries["around"].tobytes(), entries["before"].tobytes(), entries["more"].tobytes()]
+    steps = np.diff(entries["seed"], prepend=entries["seed"][:1])
+    kinds = [max(1, (int(steps.max()).bit_length() + 7) // 8)]
+    low = steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : kinds[0]]
+    parts = [low.T.tobytes(), entries["around"].tobytes(), entries["before"].tobytes(), entries["more"].tobytes()]
     for column in (far, entries["place"]):
         kind = next(k for k in ("<u2", "<u4", "<u8") if int(column.max()) < 1 << (8 * int(k[2])))
         kinds.append(int(kind[2]))
         parts.append(column.astype(kind).tobytes())
-    return np.array([len(entries), least, *kinds], "<i8").tobytes() + b"".join(parts)
+    return np.array([len(entries), least, *kinds], "<i8").tobytes() + entries["seed"][:1].tobytes() + b"".join(parts)
 
 
 def unpack(blob: bytes) -> np.ndarray:
-    n, least, *kinds = np.frombuffer(blob, "<i8", 4).tolist()
-    out, at = np.empty(n, ENTRY), 32
-    for name, kind in (("seed", "<u8"), ("around", "<u4"), ("before", "u1"), ("more", "u1")):
+    n, least, size, *kinds = np.frombuffer(blob, "<i8", 5).tolist()
+    out, at = np.empty(n, ENTRY), 48
+    steps = np.zeros((n, 8), np.uint8)
+    steps[:, :size] = np.frombuffer(blob, np.uint8, n * size, at).reshape(size, n).T
+    out["seed"] = np.frombuffer(blob, "<u8", 1, 40) + np.cumsum(steps.view("<u8")[:, 0], dtype=np.uint64)
+    at += n * size
+    for name, kind in (("around", "<u8"), ("before", "u1"), ("more", "u1")):
         out[name] = np.frombuffer(blob, kind, n, at)
         at += n * np.dtype(kind).itemsize
     for name, width in zip(("doc", "place"), kinds):
@@ -148,8 +154,21 @@ def settle(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return entries[repeats], entries[kept], several[seed_no[kept]] if len(entries) else kept
 
 
+def seed_limits(n_buckets: int) -> np.ndarray:
+    """Seeds at which buckets of equal weight begin, without the first.
+
+    A place whose seed hash is the share ``1 - q`` of the range is sampled with probability q^(w-1) (1 + (w-1)(1-q)),
+    w = ``PLACES``, so sampled seeds are low ones.
+    """
+    q = 1 - np.linspace(0, 1, 1 << 17)
+    below = 1 - (PLACES + 1) / 2 * q**PLACES + (PLACES - 1) / 2 * q ** (PLACES + 1)
+    share = np.interp(np.arange(1, n_buckets) / n_buckets, below, 1 - q)
+    return (share * 2.0**32).astype(np.uint64) << np.uint64(32)
+
+
 def packed_entries(rows: DataFrame, n_buckets: int) -> DataFrame:
     """``bucket, blob``: entries dealt by rank; bucket -1 and below: repeats that a task found itself."""
+    limits = seed_limits(n_buckets)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -163,10 +182,10 @@ def packed_entries(rows: DataFrame, n_buckets: int) -> DataFrame:
                 text, place, first, last, seed, around = sampled(data, lengths)
                 begins = np.cumsum(lengths) - lengths
                 entries = np.empty(len(text), ENTRY)
-                entries["seed"], entries["around"], entries["doc"] = seed, around >> np.uint64(32), ids[text]
+                entries["seed"], entries["around"], entries["doc"] = seed, around, ids[text]
                 entries["place"], entries["before"], entries["more"] = place - begins[text], place - first, last - first
                 repeats, entries, _ = settle(entries)
-                bucket = ((entries["seed"] >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int64)
+                bucket = np.searchsorted(limits, entries["seed"], side="right")
                 edges = np.searchsorted(bucket, np.arange(n_buckets + 1))
                 numbers = [b for b in range(n_buckets) if edges[b + 1] > edges[b]]
                 blobs = [pack(entries[edges[b] : edges[b + 1]]) for b in numbers]

@@ -49,3 +49,29 @@ def test_packing_round_trip():
     entries["doc"] = [-3, 7, 1 << 40, 0, 5]
     entries["place"] = [0, 1, 70000, 3, 4]
     assert (suffix_dedup.unpack(suffix_dedup.pack(entries)) == entries).all()
+
+
+def test_surroundings_of_one_seed_are_told_apart(spark):
+    # one sampled string in both, and surroundings whose 64-bit hashes share their upper half
+    rows = [(1, "xqvxlbbbpslolnvdlwpwpxd  ophpicjgkkdjcyvmkdo agyzb"), (2, "vrcnjwyuzjlgoexdlwpwpxd  ophpicjgkkxu xxbpkbutpxcu")]
+    assert found(docs(spark, rows)) == brute(rows)
+
+
+def test_packing_keeps_the_whole_hashes():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    entries = np.zeros(1000, suffix_dedup.ENTRY)
+    entries["seed"] = np.sort(np.frombuffer(rng.bytes(8000), "<u8"))
+    entries["around"] = np.frombuffer(rng.bytes(8000), "<u8")
+    for some in (entries, entries[:1], entries[::-1]):
+        assert (suffix_dedup.unpack(suffix_dedup.pack(some)) == some).all()
+
+
+def test_buckets_have_equal_weight():
+    import numpy as np
+
+    data = np.random.default_rng(4).integers(0, 256, 1_000_000).astype(np.uint8)
+    seed = suffix_dedup.sampled(data, np.array([len(data)]))[4]
+    sizes = np.bincount(np.searchsorted(suffix_dedup.seed_limits(50), seed, side="right"), minlength=50)
+    assert len(sizes) == 50 and sizes.max() < 1.2 * sizes.mean()
