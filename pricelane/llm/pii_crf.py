@@ -12,8 +12,8 @@ patterns. Skip weights have a prior in favour of agreement, as repeats are rare
 Similar nodes are linked from one occurrence to the next and to the last observed one, never all with all.
 
 Defined results: a null or empty text has no spans; a text of any length is read whole, by steps in
-proportion to its length; repeated rows get equal results; without any base span in the sample only base
-spans come out; only the key and text columns are read. Offsets are code points, ends exclusive.
+proportion to its length; every text with a node is scored, whether or not a pattern matches in it; repeated rows get
+equal results; without any base span in the sample only base spans come out; only the key and text columns are read. Offsets are code points, ends exclusive.
 """
 
 from __future__ import annotations
@@ -218,12 +218,9 @@ def beliefs(graph: Graph, field: Field, rounds: int = ROUNDS) -> np.ndarray:
 
 def added_spans(text: str, base: list[Span], field: Field | None, least: float = MIN_BELIEF) -> list[Span]:
     """Spans of the field that no base span touches."""
-    graph = build_graph(text, base) if field is not None and base else None
+    graph = build_graph(text, base) if field is not None else None
     if graph is None or (graph.observed >= 0).all():
         return []
-    linked = {k for a, b, _ in graph.skip for k in (a, b)}
-    if all(graph.observed[k] >= 0 for k in linked):
-        return []  # nothing repeats outside the base spans
     share = beliefs(graph, field)
     label = share.argmax(axis=1)
     spans: list[Span] = []
@@ -349,8 +346,9 @@ def redact(df: DataFrame, field: Field | None, text: str = "text", n_chars: str
             texts, lengths = batch.column(text).to_pylist(), batch.column(n_chars).to_pylist()
             for k, t in enumerate(texts):
                 base = base_spans(t or "")
-                if base:
-                    texts[k] = redact_text(t, base + added_spans(t, base, own))
+                spans = base + added_spans(t or "", base, own)
+                if spans:
+                    texts[k] = redact_text(t, spans)
                     lengths[k] = len(texts[k])
             for name, values in ((text, texts), (n_chars, lengths)):
                 at = batch.schema.get_field_index(name)

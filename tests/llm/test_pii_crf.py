@@ -82,3 +82,12 @@ def test_query_counts_base_spans(spark, folder):
     for r in pii_crf.op1_pii_crf(spark, folder).collect():
         base = naive(texts[r["doc_id"]])
         assert [r[f"n_{k}"] for k in KINDS] == [sum(s.kind == k for s in base) for k in KINDS]
+
+
+def test_texts_without_matches_are_scored(spark, field):
+    strong = field._replace(node={**field.node, "at=True": field.node["at=True"] + [0.0, 9.0, 0.0, 0.0, 0.0]})
+    for text in ("ask jane.doe@corp today", "ask jane.doe@corp, or 10.1.3.4 today"):  # no repeats, with and without a match
+        spans = pii_crf.added_spans(text, base_spans(text), strong)
+        assert [(s.kind, text[s.start : s.end]) for s in spans] == [("email", "jane.doe@corp")]
+    df = spark.createDataFrame([(1, "ask jane.doe@corp today", 23)], "doc_id long, text string, n_chars long")
+    assert [(r["text"], r["n_chars"]) for r in pii_crf.redact(df, strong).collect()] == [("ask <EMAIL> today", 17)]
