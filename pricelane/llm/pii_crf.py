@@ -9,7 +9,8 @@ another dress gets the same label.
 
 Node and chain weights are fitted by pseudo-likelihood on a bounded sample of documents, labelled by the
 patterns. Skip weights have a prior in favour of agreement, as repeats are rare in the sample.
-Similar nodes are linked from one occurrence to the next and to the last observed one, never all with all.
+Similar nodes are linked from one occurrence to the next and to the nearest observed ones on both sides, never all
+with all. Messages run until they settle.
 
 Defined results: a null or empty text has no spans; a text of any length is read whole, by steps in
 proportion to its length; every text with a node is scored, whether or not a pattern matches in it; repeated rows get
@@ -34,7 +35,8 @@ LABELS = ("", *KINDS)
 SAMPLE_DOCS = 3000
 #: Belief from which a token that no pattern found is personal data.
 MIN_BELIEF = 0.7
-ROUNDS = 12
+#: Rounds after which messages that do not settle are taken as they are.
+ROUNDS = 1000
 SKIP_AGREEMENT = 3.0
 #: Most that a token's own features say against a label, so that a near repeat can outweigh them.
 MAX_LOCAL = 3.5
@@ -169,6 +171,14 @@ def build_graph(text: str, base: list[Span]) -> Graph | None:
             last[core] = k
             if observed[k] > 0:
                 anchor[core] = k
+    anchor.clear()
+    for k in range(len(starts) - 1, -1, -1):  # and the next one that is observed
+        for core in cores(text[starts[k] : ends[k]]):
+            if observed[k] > 0:
+                anchor[core] = k
+            elif core in anchor:
+                pair = k, anchor[core]
+                skip[pair] = max(skip.get(pair, 0.0), min(1.0, len(core) / 7))
     return Graph(starts, ends, features, observed, chain, [(a, b, s) for (a, b), s in sorted(skip.items())])
 
 

@@ -91,3 +91,16 @@ def test_texts_without_matches_are_scored(spark, field):
         assert [(s.kind, text[s.start : s.end]) for s in spans] == [("email", "jane.doe@corp")]
     df = spark.createDataFrame([(1, "ask jane.doe@corp today", 23)], "doc_id long, text string, n_chars long")
     assert [(r["text"], r["n_chars"]) for r in pii_crf.redact(df, strong).collect()] == [("ask <EMAIL> today", 17)]
+
+
+def test_mentions_before_and_after_the_match_get_its_label(field):
+    bare = ["see 456.555.2186 again"] * 20
+    text = " then ".join([*bare, "+1 (456) 555-2186", *bare])
+    spans = pii_crf.added_spans(text, base_spans(text), field)
+    assert [(s.kind, text[s.start : s.end]) for s in spans] == [("phone", "456.555.2186")] * 40
+
+
+def test_messages_settle(field):
+    text = " ".join(f"+1 (456) 555-{2000 + k % 9} 555-{2000 + k % 7} {k}" for k in range(300))
+    graph = pii_crf.build_graph(text, base_spans(text))
+    assert abs(pii_crf.beliefs(graph, field) - pii_crf.beliefs(graph, field, 5 * pii_crf.ROUNDS)).max() < 1e-2
