@@ -22,13 +22,17 @@ PLACES = {
     "op8_repetition": "repetition",
     "op9_html_blocks": "html_blocks",
     "op10_minhash_oph": "minhash_oph",
+    "op11_whitening": "whitening",
+    "op12_treap_search": "treap_search",
+    "op13_va_search": "va_search",
 }
 
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 # Tasks get the operators with the job, wherever the session was started from.
-cloudpickle.register_pickle_by_value(importlib.import_module("pricelane.llm._common"))
+for _place in ("_common", "_vectors"):
+    cloudpickle.register_pickle_by_value(importlib.import_module(f"pricelane.llm.{_place}"))
 for _name, _place in PLACES.items():
     _module = importlib.import_module(f"pricelane.llm.{_place}")
     cloudpickle.register_pickle_by_value(_module)
