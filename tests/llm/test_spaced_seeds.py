@@ -10,7 +10,7 @@ ITEM = " ".join(f"word{k}" for k in range(40))
 
 
 def changed(text, every):
-    return " ".join("other" if k % every == 2 else w for k, w in enumerate(text.split()))
+    return " ".join("other" if k % every == every - 1 else w for k, w in enumerate(text.split()))
 
 
 @pytest.fixture()
