@@ -40,7 +40,7 @@ RANGE_BYTES = 6_000_000
 #: Distinct (item, term) pairs of one block of items.
 BLOCK_PAIRS = 1_000_000
 #: Halves opened at a time.
-STEP = 128
+STEP = 512
 _NO_KEY = np.iinfo(np.int64).max
 
 #: Separators to blanks, A-Z to a-z; bytes from 0x80 belong to terms.
