@@ -46,7 +46,8 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_NODE = re.compile(r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*")
+#: Begins where a word begins, so that a long word is looked at once.
+_NODE = re.compile(r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*[0-9@][^\x20\x09-\x0D]*")
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
 _OUTER = ".,;:!?\"'<>[]{}«»"
 
@@ -314,17 +315,22 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Field | None:
     return fit_field(graphs)
 
 
+def sent(spark: SparkSession, field: Field | None):
+    """A broadcast of plain parts, so that workers need no import: features of the bounded sample at most."""
+    return spark.sparkContext.broadcast(field and tuple(field))
+
+
 SPAN = "struct<kind:string,start:int,end:int,base:boolean>"
 
 
 def find_spans(df: DataFrame, field: Field | None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, text, spans`` of every row, spans by start and kind; no shuffle."""
     rows = keyed_text(df, key, text)
-    shared = rows.sparkSession.sparkContext.broadcast(field)  # features of the bounded sample at most
+    shared = sent(rows.sparkSession, field)
     struct = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("base", pa.bool_())]))
 
     def work(batch: pa.RecordBatch) -> dict:
-        own, found = shared.value, []
+        own, found = shared.value and Field(*shared.value), []
         for text in batch.column("text").to_pylist():
             base = base_spans(text)
             spans = [(s, True) for s in base] + [(s, False) for s in added_spans(text, base, own)]
@@ -348,10 +354,10 @@ def redact_text(text: str, spans: list[Span]) -> str:
 
 def redact(df: DataFrame, field: Field | None, text: str = "text", n_chars: str = "n_chars") -> DataFrame:
     """The rows of ``df`` with all their columns, personal data replaced; ``n_chars`` follows, null stays null."""
-    shared = df.sparkSession.sparkContext.broadcast(field)
+    shared = sent(df.sparkSession, field)
 
     def run(batches):
-        own = shared.value
+        own = shared.value and Field(*shared.value)
         for batch in batches:
             texts, lengths = batch.column(text).to_pylist(), batch.column(n_chars).to_pylist()
             for k, t in enumerate(texts):
