@@ -15,7 +15,7 @@ from pricelane.functions import names, prices, promos, text, text_nodes, urls
 from pricelane.operators import arranging, cleaning, dedupe, filters, joins, nested, summary
 from pricelane.plans import shops
 from pricelane.session import scratch_path
-from pricelane.sources import shop_pages, tables
+from pricelane.sources import run_store, shop_pages, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -724,6 +724,15 @@ def run_summary(spark, folder):
     return summary.run_summary(inputs.attempts(spark, folder))
 
 
+@check("run_summary_observed", ORACLE["run_summary"])
+def run_summary_observed(spark, folder):
+    """The totals of a run, counted while its attempts are stored."""
+    rows, totals = summary.observed_attempts(inputs.attempts(spark, folder))
+    rows.write.parquet(scratch_path(spark, "attempts"))
+    kinds = "n_success bigint, n_requested bigint, n_attempts bigint, elapsed_seconds double"
+    return spark.createDataFrame([totals.get], kinds)
+
+
 @check(
     "new_items_per_page",
     on_listing(
@@ -895,6 +904,42 @@ def run_makro_search(spark, folder):
     return makro_tables(spark, folder, keep=True)["search"]
 
 
+_SHOWN = "name, promotion_price, original_price"
+
+
+@check(
+    "dated_run_roundtrip",
+    on_listing(
+        " union all ".join(
+            f"select '{kind}' as kind, 'Makro, big & small' as shop, {columns} from ({sql})"
+            for kind, columns, sql in (
+                ("listing", _SHOWN, _MAKRO_LISTING),
+                ("watchlist", _SHOWN, oracle.standard(_MAKRO_WATCHED, "makro")),
+                ("search", "product_name, promotion_price, original_price", oracle.searched(oracle.search_list(), _MAKRO_LISTING)),
+            )
+        )
+        + f" union all select 'listing', 'BigC', {_SHOWN} from ({oracle.standard(PRICE_ROWS, 'bigc')})"
+    ),
+)
+def dated_run_roundtrip(spark, folder):
+    """Three tables of a run, published again over an earlier run, beside another shop's and a killed one."""
+    root, shop = scratch_path(spark, "runs"), "Makro, big & small"
+    made = makro_tables(spark, folder, keep=True)
+    rows = price_rows(spark, folder)
+    earlier = {k: df.limit(3) for k, df in made.items()} | {"found_late": rows.select("name")}
+    run_store.publish(spark, root, [run_store.Run(shop, RUN_DATE, earlier)])
+    bigc = run_store.Run("BigC", RUN_DATE, {"listing": cleaning.standardize(rows, "bigc", RUN_DATE)})
+    run_store.publish(spark, root, [run_store.Run(shop, RUN_DATE, made), bigc])
+    run_store.write_table(made["listing"], root, "listing", bigc, "killed")  # and no manifest
+    kinds = []
+    for kind in ("listing", "watchlist", "search", "found_late"):
+        df = run_store.read_kind(spark, root, kind)
+        name = F.col("name" if "name" in df.columns else "product_name") if len(df.columns) > 2 else F.lit(None).cast("string")
+        prices = (F.col(c) if c in df.columns else F.lit(None).cast("double").alias(c) for c in ("promotion_price", "original_price"))
+        kinds.append(df.select(F.lit(kind).alias("kind"), "shop", name.alias("name"), *prices))
+    return arranging.union_sources(*kinds)
+
+
 def bigc_tables(spark: SparkSession, folder: str, keep: bool = False) -> shops.Tables:
     return shops.bigc_run(
         inputs.cards_bigc(spark, folder),

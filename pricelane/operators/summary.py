@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from pricelane.fixed_values import NOT_COLLECTED
@@ -12,27 +12,44 @@ def listing_counts(listing: DataFrame) -> DataFrame:
     return listing.groupBy("Retailer").agg(F.count("*").alias("n_items"))
 
 
-def run_summary(attempts: DataFrame) -> DataFrame:
-    """Totals of one run over its attempts ``url, ok, ts``.
-
-    Attempts are first summed up per address, which avoids the row copies that
-    several distinct counts side by side would need.
-    """
-    per_url = attempts.groupBy("url").agg(
+def attempts_per_address(attempts: DataFrame) -> DataFrame:
+    """``url, ok, n, first_ts, last_ts`` over attempts ``url, ok, ts``."""
+    return attempts.groupBy("url").agg(
         F.bool_or("ok").alias("ok"),
         F.count("*").alias("n"),
         F.min("ts").alias("first_ts"),
         F.max("ts").alias("last_ts"),
     )
+
+
+def _totals() -> list[Column]:
     micros = F.unix_micros(F.max("last_ts").cast("timestamp")) - F.unix_micros(
         F.min("first_ts").cast("timestamp")
     )
-    return per_url.agg(
+    return [
         F.count_if("ok").alias("n_success"),
         F.count("url").alias("n_requested"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("n_attempts"),
         (micros / 1e6).alias("elapsed_seconds"),
-    )
+    ]
+
+
+def run_summary(attempts: DataFrame) -> DataFrame:
+    """Totals of one run over its attempts ``url, ok, ts``.
+
+    Attempts are first summed up per address, which avoids the row copies that
+    several distinct counts side by side would need.
+    """
+    return attempts_per_address(attempts).agg(*_totals())
+
+
+def observed_attempts(attempts: DataFrame, name: str = "run-totals") -> tuple[DataFrame, Observation]:
+    """Attempts per address for the sink, and the run's totals, which come out of that write.
+
+    The totals of ``run_summary`` without a scan of their own: ask the observation once the rows are written.
+    """
+    totals = Observation(name)
+    return attempts_per_address(attempts).observe(totals, *_totals()), totals
 
 
 def watchlist_coverage(watchlist: DataFrame, attempts: DataFrame) -> DataFrame:
