@@ -7,6 +7,7 @@ Spark only, and the oracle answers from the same listing.
 from __future__ import annotations
 
 import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -373,6 +374,29 @@ def cards_go(spark: SparkSession, folder: str) -> DataFrame:
     return _catalogue_pages(listing(spark, folder), card)
 
 
+def all_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Stored pages of five shops and both kinds in one table, and pages of a shop that has no rules."""
+    number = F.col("url_no")
+    makro = details_makro(spark, folder).where(number % 23 != 4)
+    broken = F.when(number % 23 == 5, F.lit(None)).when(number % 23 == 6, "<h1>Soap</h1><![nonsense x]]>").otherwise(F.col("html"))
+    strange = driver_pages(spark, folder).drop("retailer")
+    parts = (
+        ("makro", "category", cards_makro(spark, folder, "family_name")),
+        ("makro", "product", makro.withColumn("html", broken)),
+        ("bigc", "category", cards_bigc(spark, folder)),
+        ("bigc", "product", details_bigc(spark, folder)),
+        ("lotus", "category", cards_lotus(spark, folder, "family_name")),
+        ("lotus", "product", details_lotus(spark, folder)),
+        ("7e", "category", catalogue_7e(spark, folder)),
+        ("7e", "product", details_7e(spark, folder)),
+        ("tops", "category", cards_tops(spark, folder)),
+        ("tops", "product", details_tops(spark, folder)),
+        ("other", "product", strange),
+    )
+    frames = [df.select(F.lit(shop).alias("retailer"), F.lit(kind).alias("page_kind"), "url_no", "url", "page_no", "html") for shop, kind, df in parts]
+    return reduce(DataFrame.unionByName, frames)
+
+
 # -- other inputs ---------------------------------------------------------------
 def driver_pages(spark: SparkSession, folder: str) -> DataFrame:
     """The driver's pages, dealt to three shops, with challenge texts put into some of them."""

@@ -14,8 +14,8 @@ from pricelane.fixed_values import LISTING_COLUMNS, NAME_PROFILES, PRICE_COLUMNS
 from pricelane.functions import names, prices, promos, text, text_nodes, urls
 from pricelane.operators import arranging, cleaning, dedupe, filters, joins, nested, summary
 from pricelane.plans import shops
-from pricelane.session import scratch_path
-from pricelane.sources import run_store, shop_pages, tables
+from pricelane.session import scratch_path, stored
+from pricelane.sources import page_dispatch, run_store, shop_pages, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1130,6 +1130,61 @@ def all_retailers(spark, folder):
     )
 
 
+def one_walk(spark: SparkSession, folder: str) -> dict[str, shops.Tables]:
+    """All shops' runs over one stored page table."""
+    pages = stored(inputs.all_pages(spark, folder), "all-pages")
+    asked = search_list(spark, folder).select("product_name")
+    watched = pages.where("page_kind = 'product'").select("retailer", "url")
+    # pages that were never stored are on the watchlist as well
+    missing = inputs.details_makro(spark, folder).where("url_no % 23 = 4").select(F.lit("makro").alias("retailer"), "url")
+    searches = [asked.withColumn("retailer", F.lit(shop)) for shop in ("makro", "bigc", "lotus")]
+    return shops.runs_of_one_walk(
+        pages,
+        inputs.badge_texts(spark, folder),
+        arranging.union_sources(watched, missing),
+        arranging.union_sources(*searches),
+        RUN_DATE,
+    )
+
+
+@check("all_retailers_one_walk", ORACLE["all_retailers"])
+def all_retailers_one_walk(spark, folder):
+    runs = one_walk(spark, folder)
+    watched = (runs[shop]["watchlist"] for shop in ("bigc", "lotus", "7e", "tops"))
+    return shops.all_retailers(runs["makro"]["listing"], *watched)
+
+
+@check(
+    "walk_rejects",
+    on_listing(
+        "select 'makro' as retailer, 'https://shop.example/p/'||seq as url, "
+        "case seq%23 when 5 then 'no markup' else 'refused markup' end as reason from listing where seq%23 in (5, 6) "
+        "union all select 'bigc', 'https://shop.example/p/'||seq, 'not the page asked for' from listing where seq%11 = 0 "
+        "union all select 'other', url, 'no rule' from pages"
+    ),
+)
+def walk_rejects(spark, folder):
+    return one_walk(spark, folder)["pages"]["rejects"].select("retailer", "url", "reason")
+
+
+@check(
+    "walk_page_states",
+    on_listing(
+        "select retailer, state, count(*) as n_pages from ("
+        "select 'makro' as retailer, case seq%23 when 5 then 'no markup' when 6 then 'refused markup' else 'products' end as state "
+        "from listing where seq%23 <> 4 union all "
+        "select 'bigc', case when seq%11 = 0 then 'not the page asked for' else 'products' end from listing union all "
+        "select shop, 'products' from listing, (values ('lotus'), ('7e'), ('tops')) as t(shop) union all "
+        "select 'other', 'no rule' from pages) group by retailer, state"
+    ),
+)
+def walk_page_states(spark, folder):
+    """Every product page that went into the walk, counted by what came of it."""
+    states = one_walk(spark, folder)["pages"]["states"].where("page_kind = 'product'")
+    return states.groupBy("retailer", "state").agg(F.count("*").alias("n_pages"))
+
+
+
 # -- the same operators over price sightings: many rows, one name on a third of them ----
 def sighting_prices(spark: SparkSession, folder: str) -> DataFrame:
     return inputs.sightings(spark, folder).select(

@@ -96,3 +96,30 @@ def drop_repeated_pages(rows: DataFrame, pages: DataFrame | None = None) -> Data
         .where(F.col("end_page").isNull() | (F.col("page_no") < F.col("end_page")))
         .select(*rows.columns)
     )
+
+
+def catalogue_ends(pages: DataFrame) -> DataFrame:
+    """``url, end_page``: the first empty page of each catalogue, or the first that repeats the page before.
+
+    ``pages`` has ``url, page_no, mark, names``, one row for each page. Each page also meets the next page number, so the
+    pages are read once; names are compared where the marks agree. Two rows of one page at most meet in a group.
+    """
+    page = F.struct("mark", "names")
+    nothing = F.lit(None).cast(pages.select(page).schema[0].dataType)
+    own = F.struct("page_no", page.alias("own"), nothing.alias("before"))
+    following = F.struct((F.col("page_no") + 1).alias("page_no"), nothing.alias("own"), page.alias("before"))
+    numbered = pages.where("url is not null and page_no is not null")
+    placed = numbered.select("url", F.inline(F.array(own, following)))
+    both = placed.groupBy("url", "page_no").agg(F.max("own").alias("own"), F.max("before").alias("before"))
+    same = (F.col("own.mark") == F.col("before.mark")) & (F.col("own.names") == F.col("before.names"))
+    ends = both.where(F.col("own").isNotNull() & ((F.size("own.names") == 0) | F.coalesce(same, F.lit(False))))
+    return ends.groupBy("url").agg(F.min("page_no").alias("end_page"))
+
+
+def before_end(rows: DataFrame, ends: DataFrame) -> DataFrame:
+    """Rows of pages before the end of their catalogue."""
+    return (
+        rows.join(ends, "url", "left")
+        .where(F.col("end_page").isNull() | F.col("page_no").isNull() | (F.col("page_no") < F.col("end_page")))
+        .select(*rows.columns)
+    )

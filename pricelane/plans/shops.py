@@ -18,7 +18,7 @@ from pricelane.functions.promos import promo_label
 from pricelane.operators import cleaning, dedupe, joins, nested, summary
 from pricelane.operators.arranging import union_sources, union_toggle
 from pricelane.session import stored
-from pricelane.sources import shop_pages
+from pricelane.sources import page_dispatch, shop_pages
 from pricelane.sources.shop_pages import SCRAPE_ORDER
 
 Tables = dict[str, DataFrame]
@@ -123,11 +123,16 @@ def seven_eleven_catalogue(pages: DataFrame, keep: bool = False) -> DataFrame:
     """First sighting of each name over all catalogues, each cut at its first repeated or empty page.
 
     The ``url`` of a page is its catalogue's address, without a page number.
-    The cards are read several times; ``keep`` stores them, which runs the page
-    walk while the plan is built.
+    The pages are walked twice, for the ends and for the cards; ``keep`` stores the
+    first walk, which then runs while the plan is built. Pages that were walked with
+    those of other shops are compared as stored.
     """
-    cards = _keeper(keep)(shop_pages.extract_card_7e(pages), "7e-cards")
-    fresh = dedupe.drop_repeated_pages(cards, pages)
+    if isinstance(pages, shop_pages.WalkedPages):
+        fresh = dedupe.drop_repeated_pages(shop_pages.extract_card_7e(pages), pages.pages())
+    else:
+        walked = _keeper(keep)(shop_pages.catalogue_pages_7e(pages), "7e-catalogue")
+        ends = dedupe.catalogue_ends(walked)
+        fresh = shop_pages.catalogue_cards_7e(dedupe.before_end(walked, ends))
     return dedupe.dedupe_first(cleaning.read_prices(fresh, "7e"), SCRAPE_ORDER)
 
 
@@ -188,6 +193,40 @@ def go_vietnam(pages: DataFrame, dictionary: DataFrame) -> DataFrame:
     return cleaning.parse_names_go(named)
 
 
+def runs_of_one_walk(
+    pages: DataFrame,
+    badge_texts: DataFrame,
+    watchlists: DataFrame,
+    searches: DataFrame,
+    run_date: datetime.date,
+) -> dict[str, Tables]:
+    """All shops' runs over one page table, which is read and walked once.
+
+    ``pages`` has ``retailer, page_kind`` and the columns of pages; ``watchlists`` has ``retailer, url``,
+    ``searches`` ``retailer, product_name``. Under ``pages`` the result has each page's state and the rejects.
+    """
+    walked = page_dispatch.stored_walk(pages)
+
+    def of(retailer: str, kind: str) -> shop_pages.WalkedPages:
+        return page_dispatch.of(walked, retailer, kind)
+
+    def own(table: DataFrame, retailer: str) -> DataFrame:
+        return table.where(F.col("retailer") == retailer).drop("retailer")
+
+    return {
+        "makro": makro_run(
+            of("makro", "category"), of("makro", "product"), own(searches, "makro"), run_date, watchlist=own(watchlists, "makro")
+        ),
+        "bigc": bigc_run(of("bigc", "category"), of("bigc", "product"), badge_texts, own(searches, "bigc"), run_date),
+        "lotus": lotus_run(
+            of("lotus", "category"), of("lotus", "product"), own(watchlists, "lotus"), own(searches, "lotus"), run_date
+        ),
+        "7e": seven_eleven_run(of("7e", "category"), of("7e", "product"), run_date, just_watchlist=False),
+        "tops": tops_run(of("tops", "product"), run_date) | {"listing": tops_catalogue(of("tops", "category"), run_date)},
+        "pages": {"states": page_dispatch.page_states(walked), "rejects": page_dispatch.rejects(walked)},
+    }
+
+
 def all_retailers(*listings: DataFrame) -> DataFrame:
     """One table of all shops' listings; a shop without rows adds nothing."""
     return union_sources(*(listing.select(*LISTING_COLUMNS) for listing in listings))

@@ -37,7 +37,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, *partitions: str) -> DataFrame:
     """The same rows from a table written to the shared folder.
 
     For results that several later steps read. It cuts the lineage, so a lost

@@ -10,6 +10,7 @@ address in the shop's list; ``html`` is never carried past the walk.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -53,15 +54,34 @@ _CHARS_PER_BATCH = 32 << 20
 Pieces = Callable[[HtmlTree], Iterator[dict]]
 
 
-def walk_pages(
-    pages: DataFrame, pieces: Pieces, fields: dict[str, str], keep: dict[str, str] | None = None
-) -> DataFrame:
-    """Rows ``url_no, url, page_no, pos, <fields>`` that ``pieces`` finds in each page.
+def gives(page_ok: Callable[[Column], Column] | None = None, **fields: str) -> Callable[[Pieces], Pieces]:
+    """Names the fields of the pieces that a rule finds; ``page_ok`` tells by the markup whether a page is the one asked for."""
+
+    def named(rule: Pieces) -> Pieces:
+        rule.fields, rule.page_ok = fields, page_ok
+        return rule
+
+    return named
+
+
+def found_in(html: str, rule: Pieces) -> tuple[list[dict], str | None]:
+    """All pieces of one page, or the name of the error that its markup gave."""
+    try:
+        return list(rule(HtmlTree(html))), None
+    except Exception as error:  # whatever one page does to the parser or a rule, the others go on
+        return [], type(error).__name__
+
+
+def walk_pages(pages: DataFrame | WalkedPages, rule: Pieces, keep: dict[str, str] | None = None) -> DataFrame:
+    """Rows ``url_no, url, page_no, pos, <fields>`` that a rule finds in each page.
 
     A page without markup, or with markup that no parser accepts, has no rows;
     ``rejected_pages`` names these. ``keep`` has further columns of ``pages`` to
-    keep next to the pieces, with their kinds.
+    keep next to the pieces, with their kinds. Pages that were walked before are read, not walked.
     """
+    if isinstance(pages, WalkedPages):
+        return pages.pieces(rule)
+    fields = rule.fields
     kept = {"url_no": "int", "url": "string", "page_no": "int"} | (keep or {})
     schema = pa.schema(
         [(name, _ARROW[kind]) for name, kind in (kept | {"pos": "int"}).items()]
@@ -74,12 +94,7 @@ def walk_pages(
         for batch in batches:
             for page in batch.to_pylist():
                 html = page.pop("html")
-                try:
-                    tree = HtmlTree(html)
-                except AssertionError:  # markup the standard parser refuses
-                    continue
-                for pos, found in enumerate(pieces(tree)):
-                    rows.append(page | {"pos": pos} | found)
+                rows += (page | {"pos": pos} | found for pos, found in enumerate(found_in(html, rule)[0]))
                 read += len(html)
                 if len(rows) >= _ROWS_PER_BATCH or read >= _CHARS_PER_BATCH:
                     yield pa.RecordBatch.from_pylist(rows, schema=schema)
@@ -88,12 +103,52 @@ def walk_pages(
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     ddl = ", ".join(f"{n} {k}" for n, k in (kept | {"pos": "int"} | fields).items())
-    wanted = pages.where(F.col("html").isNotNull()).select(
-        *(F.col(n).cast(k).alias(n) for n, k in kept.items()), "html"
-    )
+    asked = F.col("html").isNotNull() if rule.page_ok is None else rule.page_ok(F.col("html"))
+    wanted = pages.where(asked).select(*(F.col(n).cast(k).alias(n) for n, k in kept.items()), "html")
+    return spread_small(wanted, "url", "page_no").mapInArrow(walk, ddl)
+
+
+class WalkedPages(NamedTuple):
+    """Pages of one shop and kind whose pieces were found in a walk over all shops' pages."""
+
+    rows: DataFrame  # of page_dispatch.walk_all
+    retailer: str
+    page_kind: str
+
+    def _own(self) -> DataFrame:
+        return self.rows.where((F.col("retailer") == self.retailer) & (F.col("page_kind") == self.page_kind))
+
+    def pieces(self, rule: Pieces) -> DataFrame:
+        return self._own().where(F.col("state") == PIECE).select(*SCRAPE_ORDER, *rule.fields)
+
+    def pages(self) -> DataFrame:
+        """``url_no, url, page_no, state, n_found``, one row for each page."""
+        return self._own().where(F.col("state") != PIECE).select("url_no", "url", "page_no", "state", "n_found")
+
+
+def walk_catalogue(pages: DataFrame, rule: Pieces) -> DataFrame:
+    """``url_no, url, page_no, cards``: the pieces of each page together; no cards where nothing can be read."""
+    kept = {"url_no": "int", "url": "string", "page_no": "int"}
+    card = pa.struct([(name, _ARROW[kind]) for name, kind in rule.fields.items()])
+    schema = pa.schema([*((name, _ARROW[kind]) for name, kind in kept.items()), ("cards", pa.list_(card))])
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for page in batch.to_pylist():
+                html = page.pop("html")
+                cards = [] if html is None else found_in(html, rule)[0]
+                yield pa.RecordBatch.from_pylist([page | {"cards": cards}], schema=schema)
+
+    struct = ", ".join(f"{n}: {k}" for n, k in rule.fields.items())
+    ddl = ", ".join(f"{n} {k}" for n, k in kept.items()) + f", cards array<struct<{struct}>>"
+    wanted = pages.select(*(F.col(n).cast(k).alias(n) for n, k in kept.items()), "html")
     return spread_small(wanted, "url", "page_no").mapInArrow(walk, ddl)
 
 
+#: State of a row that holds a piece; the other states are those of pages.
+PIECE = "piece"
+
+
 def _result(rows: DataFrame, **columns: Column) -> DataFrame:
     return rows.select(*SCRAPE_ORDER, *(c.alias(n) for n, c in columns.items()))
 
@@ -125,20 +180,21 @@ def _attr(element: Element | None, name: str) -> str | None:
 
 
 # -- headings of any page ---------------------------------------------------
+@gives(h1=TEXT)
 def _heading_pieces(tree: HtmlTree):
     yield {"h1": tree.text(tree.find(_tag("h1")))}
 
 
 def extract_heading(pages: DataFrame) -> DataFrame:
     """One row per page with its first ``h1`` text (null without one)."""
-    rows = walk_pages(pages, _heading_pieces, {"h1": TEXT})
+    rows = walk_pages(pages, _heading_pieces)
     return _result(rows, h1=strip_ws(F.col("h1")))
 
 
 def blocked_pages(pages: DataFrame) -> DataFrame:
     """Pages that hold a challenge or a consent banner instead of products, by ``retailer``'s rule."""
     flagged = pages.withColumn("html_ok", bigc_page_ok(F.col("html")))
-    rows = walk_pages(flagged, _heading_pieces, {"h1": TEXT}, keep={"html_ok": "boolean", "retailer": "string"})
+    rows = walk_pages(flagged, _heading_pieces, keep={"html_ok": "boolean", "retailer": "string"})
     heading = strip_ws(F.col("h1"))
     return _result(rows.where(is_blocked(F.col("h1"), F.col("html_ok"), F.col("retailer"))), h1=heading)
 
@@ -155,11 +211,7 @@ def rejected_pages(pages: DataFrame) -> DataFrame:
         for batch in batches:
             bad = []
             for html in batch.column("html").to_pylist():
-                try:
-                    HtmlTree(html)
-                    bad.append(False)
-                except AssertionError:
-                    bad.append(True)
+                bad.append(found_in(html, _heading_pieces)[1] is not None)
             yield batch.drop_columns(["html"]).filter(pa.array(bad))
 
     wanted = pages.select(*page, "html")
@@ -174,6 +226,7 @@ def reject_counts(pages: DataFrame) -> DataFrame:
 
 
 # -- 7-Eleven ---------------------------------------------------------------
+@gives(title=TEXT, description=TEXT, promotion=TEXT, original=TEXT, flag_style=TEXT)
 def _card_7e_pieces(tree: HtmlTree):
     for card in tree.find_all(lambda e: e.has_class("item-list-wrapper") or e.has_class("product-item")):
         yield {
@@ -185,23 +238,38 @@ def _card_7e_pieces(tree: HtmlTree):
         }
 
 
+def _card_7e_name(title: Column, description: Column) -> Column:
+    return F.coalesce(none_if_empty(title), strip_ws(description), F.lit(NO_NAME_CARD))
+
+
+def catalogue_pages_7e(pages: DataFrame) -> DataFrame:
+    """``url_no, url, page_no, mark, names, cards`` of each catalogue page; ``mark`` is a digest of the ordered names."""
+    names = F.transform("cards", lambda c: _card_7e_name(c["title"], c["description"]))
+    found = walk_catalogue(pages, _card_7e_pieces).select("*", names.alias("names"))
+    return found.select("url_no", "url", "page_no", F.xxhash64("names").alias("mark"), "names", "cards")
+
+
+def catalogue_cards_7e(catalogue: DataFrame) -> DataFrame:
+    """The cards of ``catalogue_pages_7e``, as ``extract_card_7e`` gives them."""
+    cards = catalogue.select("url_no", "url", "page_no", F.posexplode("cards").alias("pos", "card"))
+    return _cards_7e(cards.select(*SCRAPE_ORDER, "card.*"))
+
+
 def extract_card_7e(pages: DataFrame) -> DataFrame:
-    rows = walk_pages(
-        pages,
-        _card_7e_pieces,
-        {"title": TEXT, "description": TEXT, "promotion": TEXT, "original": TEXT, "flag_style": TEXT},
-    )
+    return _cards_7e(walk_pages(pages, _card_7e_pieces))
+
+
+def _cards_7e(rows: DataFrame) -> DataFrame:
     return _result(
         rows,
-        name=F.coalesce(
-            none_if_empty(F.col("title")), strip_ws(F.col("description")), F.lit(NO_NAME_CARD)
-        ),
+        name=_card_7e_name(F.col("title"), F.col("description")),
         promotion_text=strip_ws(F.col("promotion")),
         original_text=strip_ws(F.col("original")),
         condition=F.upper(first_group(F.col("flag_style"), r"/([A-Za-z0-9_]+)-th\.svg")),
     )
 
 
+@gives(title=TEXT, promotion=TEXT, original=TEXT, flags=TEXTS)
 def _detail_7e_pieces(tree: HtmlTree):
     gallery = tree.find(lambda e: e.has_class("gallery") or e.has_class("art-detail-page-top"))
     yield {
@@ -213,11 +281,7 @@ def _detail_7e_pieces(tree: HtmlTree):
 
 
 def extract_detail_7e(pages: DataFrame) -> DataFrame:
-    rows = walk_pages(
-        pages,
-        _detail_7e_pieces,
-        {"title": TEXT, "promotion": TEXT, "original": TEXT, "flags": TEXTS},
-    )
+    rows = walk_pages(pages, _detail_7e_pieces)
     offers = F.filter(
         F.transform("flags", F.upper), lambda f: f.contains("1GET1") | f.contains("2GET1")
     )
@@ -232,6 +296,7 @@ def extract_detail_7e(pages: DataFrame) -> DataFrame:
 
 
 # -- Makro ------------------------------------------------------------------
+@gives(texts=TEXTS, offer=TEXT)
 def _card_makro_pieces(tree: HtmlTree):
     for card in tree.find_all(lambda e: e.tag == "a" and "/p/" in e.attrs.get("href", "")):
         yield {
@@ -244,7 +309,7 @@ def _card_makro_pieces(tree: HtmlTree):
 
 def extract_card_makro(pages: DataFrame, min_texts: int = 3) -> DataFrame:
     """Cards with a name and a price; a card with fewer than ``min_texts`` texts is no product."""
-    rows = walk_pages(pages, _card_makro_pieces, {"texts": TEXTS, "offer": TEXT})
+    rows = walk_pages(pages, _card_makro_pieces)
     texts = F.col("texts")
     found = _kept(
         rows.where(F.size(texts) >= min_texts),
@@ -266,6 +331,7 @@ def _titled(e: Element) -> bool:
     return e.attrs.get("data-test-id", "").endswith("_product_title")
 
 
+@gives(title=TEXT, lines=TEXTS)
 def _price_makro_pieces(tree: HtmlTree):
     title = tree.find(_titled) or tree.find(_tag("h1"))
     yield {
@@ -275,7 +341,7 @@ def _price_makro_pieces(tree: HtmlTree):
 
 
 def extract_price_makro(pages: DataFrame) -> DataFrame:
-    rows = walk_pages(pages, _price_makro_pieces, {"title": TEXT, "lines": TEXTS})
+    rows = walk_pages(pages, _price_makro_pieces)
     found = text_nodes.price_lines(F.col("lines"), F.col("title"))
     promotion, original = text_nodes.price_line_pair(F.col("found"))
     return _result(
@@ -286,6 +352,7 @@ def extract_price_makro(pages: DataFrame) -> DataFrame:
     )
 
 
+@gives(title=TEXT, texts=TEXTS)
 def _tiers_makro_pieces(tree: HtmlTree):
     yield {
         "title": tree.text(tree.find(lambda e: e.tag == "div" and _titled(e))),
@@ -294,7 +361,7 @@ def _tiers_makro_pieces(tree: HtmlTree):
 
 
 def extract_tiers_makro(pages: DataFrame) -> DataFrame:
-    rows = walk_pages(pages, _tiers_makro_pieces, {"title": TEXT, "texts": TEXTS})
+    rows = walk_pages(pages, _tiers_makro_pieces)
     tiers = text_nodes.tiers_json(text_nodes.quantity_tiers(F.col("texts")))
     return _result(
         rows,
@@ -303,6 +370,7 @@ def extract_tiers_makro(pages: DataFrame) -> DataFrame:
     )
 
 
+@gives(title=TEXT, lines=TEXTS, texts=TEXTS)
 def _product_makro_pieces(tree: HtmlTree):
     priced, tiered = next(_price_makro_pieces(tree)), next(_tiers_makro_pieces(tree))
     yield {"title": priced["title"], "lines": priced["lines"], "texts": tiered["texts"]}
@@ -314,9 +382,7 @@ def extract_product_makro(pages: DataFrame) -> DataFrame:
     The same rows as joining ``extract_price_makro`` and ``extract_tiers_makro``
     of one page set by address, without the second walk and the join.
     """
-    rows = walk_pages(
-        pages, _product_makro_pieces, {"title": TEXT, "lines": TEXTS, "texts": TEXTS}
-    )
+    rows = walk_pages(pages, _product_makro_pieces)
     found = text_nodes.price_lines(F.col("lines"), F.col("title"))
     promotion, original = text_nodes.price_line_pair(F.col("found"))
     tiers = text_nodes.tiers_json(text_nodes.quantity_tiers(F.col("texts")))
@@ -335,6 +401,7 @@ def _own_text(tree: HtmlTree, elements) -> str | None:
     return next((t for e in elements for t in tree.own_texts(e)), None)
 
 
+@gives(title=TEXT, sale=TEXT, base=TEXT, badge=TEXT)
 def _card_bigc_pieces(tree: HtmlTree):
     def part(tag: str, name: str, card: Element):
         return tree.find_all(lambda e: e.tag == tag and name in e.class_name, card)
@@ -352,9 +419,7 @@ def _card_bigc_pieces(tree: HtmlTree):
 
 
 def extract_card_bigc(pages: DataFrame) -> DataFrame:
-    rows = walk_pages(
-        pages, _card_bigc_pieces, {"title": TEXT, "sale": TEXT, "base": TEXT, "badge": TEXT}
-    )
+    rows = walk_pages(pages, _card_bigc_pieces)
 
     def shown(piece: str) -> Column:
         return F.coalesce(strip_ws(none_if_empty(F.col(piece))), F.lit(NO_TEXT))
@@ -368,6 +433,7 @@ def extract_card_bigc(pages: DataFrame) -> DataFrame:
     )
 
 
+@gives(page_ok=bigc_page_ok, title=TEXT, base=TEXT, price=TEXT, badge=TEXT)
 def _detail_bigc_pieces(tree: HtmlTree):
     box = tree.find(_div("productDetail_product_price_new"))
     base = box and tree.find(_div("productDetail_product_baseprice"), box)
@@ -387,11 +453,7 @@ def _detail_bigc_pieces(tree: HtmlTree):
 
 def extract_detail_bigc(pages: DataFrame) -> DataFrame:
     """Product pages that loaded: challenge pages and pages without a title drop out."""
-    rows = walk_pages(
-        pages.where(bigc_page_ok(F.col("html"))),
-        _detail_bigc_pieces,
-        {"title": TEXT, "base": TEXT, "price": TEXT, "badge": TEXT},
-    )
+    rows = walk_pages(pages, _detail_bigc_pieces)
     return _result(
         rows.where(has_name(F.col("title"))),
         name=strip_ws(F.col("title")),
@@ -401,6 +463,7 @@ def extract_detail_bigc(pages: DataFrame) -> DataFrame:
     )
 
 
+@gives(title=TEXT, base=TEXT, price=TEXT, default=TEXT, badge=TEXT)
 def _detail_bigc_by_id_pieces(tree: HtmlTree):
     wrapper = tree.find(lambda e: e.tag == "div" and e.attrs.get("id") == "pdp_product-price-new")
     base = wrapper and tree.find(lambda e: e.tag == "span" and e.attrs.get("id") == "pdp_price-base", wrapper)
@@ -419,11 +482,7 @@ def _detail_bigc_by_id_pieces(tree: HtmlTree):
 
 def extract_detail_bigc_by_id(pages: DataFrame) -> DataFrame:
     """Older page layout: prices by element id, a default price, relative badge addresses."""
-    rows = walk_pages(
-        pages,
-        _detail_bigc_by_id_pieces,
-        {"title": TEXT, "base": TEXT, "price": TEXT, "default": TEXT, "badge": TEXT},
-    )
+    rows = walk_pages(pages, _detail_bigc_by_id_pieces)
     promotion = none_if_empty(strip_ws(F.translate("price", ",", "")))
     original = none_if_empty(F.translate("base", ",", ""))
     lone = F.when(promotion.isNull() & original.isNull(), F.translate("default", ",", ""))
@@ -436,6 +495,7 @@ def extract_detail_bigc_by_id(pages: DataFrame) -> DataFrame:
     )
 
 
+@gives(badges=TEXTS)
 def _badge_pieces(tree: HtmlTree):
     images = tree.find_all(lambda e: e.tag == "img" and e.attrs.get("alt") == "product badge")
     yield {"badges": [i.attrs["src"] for i in images if i.attrs.get("src")]}
@@ -443,11 +503,12 @@ def _badge_pieces(tree: HtmlTree):
 
 def extract_badge_urls(pages: DataFrame) -> DataFrame:
     """Distinct badge image addresses of each page."""
-    rows = walk_pages(pages, _badge_pieces, {"badges": TEXTS})
+    rows = walk_pages(pages, _badge_pieces)
     return rows.select("url", F.explode(F.array_distinct("badges")).alias("badge_url"))
 
 
 # -- Lotus's ----------------------------------------------------------------
+@gives(title=TEXT, promotion=TEXT, original=TEXT, offer=TEXT)
 def _card_lotus_pieces(tree: HtmlTree):
     for card in tree.find_all(_classed("div", "MuiCard-root")):
         yield {
@@ -459,9 +520,7 @@ def _card_lotus_pieces(tree: HtmlTree):
 
 
 def extract_card_lotus(pages: DataFrame) -> DataFrame:
-    rows = walk_pages(
-        pages, _card_lotus_pieces, {"title": TEXT, "promotion": TEXT, "original": TEXT, "offer": TEXT}
-    )
+    rows = walk_pages(pages, _card_lotus_pieces)
     promotion = prices.strip_currency(F.col("promotion"))
     return _result(
         rows,
@@ -472,6 +531,7 @@ def extract_card_lotus(pages: DataFrame) -> DataFrame:
     ).where(F.col("name") != "")
 
 
+@gives(title=TEXT, current=TEXT, crossed=TEXT, offer=TEXT)
 def _detail_lotus_pieces(tree: HtmlTree):
     title = tree.find(_classed("h1", "mui-style-1wc9qn4")) or tree.find(_tag("h1"))
     yield {
@@ -484,9 +544,7 @@ def _detail_lotus_pieces(tree: HtmlTree):
 
 def extract_detail_lotus(pages: DataFrame) -> DataFrame:
     """Product pages that loaded: consent banners and pages without a title drop out."""
-    rows = walk_pages(
-        pages, _detail_lotus_pieces, {"title": TEXT, "current": TEXT, "crossed": TEXT, "offer": TEXT}
-    )
+    rows = walk_pages(pages, _detail_lotus_pieces)
     current = strip_ws(F.substring_index(F.translate("current", ",฿", ""), "/", 1))
     crossed = prices.strip_currency(F.col("crossed"))
     return _result(
@@ -504,6 +562,7 @@ def _price_spans(tree: HtmlTree, within: Element | None = None) -> list[str | No
     return [tree.packed(s) for s in spans]
 
 
+@gives(title=TEXT, prices=TEXTS)
 def _card_tops_pieces(tree: HtmlTree):
     for title in tree.find_all(_div("text-textblack")):
         box = title.parent
@@ -523,13 +582,14 @@ def _price_pair(found: str, read: Callable[[Column], Column]) -> tuple[Column, C
 
 
 def extract_card_tops(pages: DataFrame) -> DataFrame:
-    rows = walk_pages(pages, _card_tops_pieces, {"title": TEXT, "prices": TEXTS})
+    rows = walk_pages(pages, _card_tops_pieces)
     promotion, original = _price_pair("prices", lambda t: strict_double(F.translate(t, ",", "")))
     return _result(
         rows, name=F.col("title"), promotion_price=promotion, original_price=original
     )
 
 
+@gives(title=TEXT, heading=TEXT, prices=TEXTS, offer=TEXT)
 def _detail_tops_pieces(tree: HtmlTree):
     def is_offer(e: Element) -> bool:
         return e.tag == "div" and all(
@@ -546,11 +606,7 @@ def _detail_tops_pieces(tree: HtmlTree):
 
 def extract_detail_tops(pages: DataFrame) -> DataFrame:
     """Product pages that loaded: challenge pages and pages without a title drop out."""
-    rows = walk_pages(
-        pages,
-        _detail_tops_pieces,
-        {"title": TEXT, "heading": TEXT, "prices": TEXTS, "offer": TEXT},
-    )
+    rows = walk_pages(pages, _detail_tops_pieces)
     promotion, original = _price_pair("prices", prices.price_drop_currency)
     return _result(
         rows.where(tops_name_ok(F.col("title"), F.col("heading"))),
@@ -562,6 +618,7 @@ def extract_detail_tops(pages: DataFrame) -> DataFrame:
 
 
 # -- GO Vietnam -------------------------------------------------------------
+@gives(title=TEXT, sale=TEXT, original=TEXT, discount=TEXT)
 def _card_go_pieces(tree: HtmlTree):
     for card in tree.find_all(lambda e: e.has_class("stick_camp_prod_item")):
         yield {
@@ -573,9 +630,7 @@ def _card_go_pieces(tree: HtmlTree):
 
 
 def extract_card_go(pages: DataFrame) -> DataFrame:
-    rows = walk_pages(
-        pages, _card_go_pieces, {"title": TEXT, "sale": TEXT, "original": TEXT, "discount": TEXT}
-    )
+    rows = walk_pages(pages, _card_go_pieces)
     return _result(
         rows,
         product_name_vi=strip_ws(F.col("title")),
