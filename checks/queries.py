@@ -87,6 +87,15 @@ def json_items(spark, folder):
     return nested.json_flatten(tables.read_items(spark, path))
 
 
+@check("json_items_array", on_listing(oracle.FEED_FLAT))
+def json_items_array(spark, folder):
+    """The feed as array files on single lines."""
+    path = scratch_path(spark, "feed-arrays")
+    records = inputs.feed(spark, folder).groupBy(F.pmod(F.xxhash64("json"), F.lit(4))).agg(F.array_join(F.collect_list("json"), ", ").alias("records"))
+    records.select(F.concat(F.lit("[ "), "records", F.lit(" ]"))).repartition(4).write.text(path)
+    return nested.json_flatten(tables.read_items(spark, path, arrays=True))
+
+
 @check(
     "dated_sink_roundtrip",
     on_listing(

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelane.operators.nested import json_items
+from pricelane.sources import json_arrays
 
 PAGE_SCHEMA = (
     "retailer string, page_kind string, url_no int, url string, page_no int, "
@@ -35,12 +36,14 @@ def search_names(spark: SparkSession, names: list[str]) -> DataFrame:
     return spark.createDataFrame(pa.table({"product_name": pa.array(names, pa.string())}))
 
 
-def read_items(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Nested product feed: JSON lines, or JSON array files with ``multi_line``.
+def read_items(spark: SparkSession, path: str, arrays: bool = False) -> DataFrame:
+    """Nested product feed: JSON lines, or files that hold one JSON array each.
 
-    An array file is read by one task; turn large ones into JSON lines first.
+    Array files are cut into byte ranges like lines are, so a large one is read by many tasks.
     """
-    raw = spark.read.schema("data string").option("multiLine", multi_line).json(path)
+    if arrays:
+        return json_items(json_arrays.read_records(spark, path).withColumnRenamed("record", "json"))
+    raw = spark.read.schema("data string").json(path)
     record = F.concat(F.lit('{"data":'), F.coalesce("data", F.lit("null")), F.lit("}"))
     return json_items(raw.select(record.alias("json")))
 
