@@ -115,6 +115,22 @@ def dated_sink_roundtrip(spark, folder):
     return tables.read_dated(spark, path, LISTING_COLUMNS)
 
 
+@check(
+    "dated_find_names",
+    on_listing(
+        f"select * from ({oracle.standard(PRICE_ROWS, 'makro')}) where name in "
+        "(select name from listing where seq in (3, 77, 150))"
+    ),
+)
+def dated_find_names(spark, folder):
+    """A few names in a stored listing, whose files lie by name."""
+    path = scratch_path(spark, "listing")
+    rows = price_rows(spark, folder)
+    tables.write_dated(cleaning.standardize(rows, "makro", RUN_DATE), path)
+    names = [r["name"] for r in rows.where("seq in (3, 77, 150)").select("name").collect()]
+    return tables.find_names(spark, path, [*names, "No such item"])
+
+
 @check("csv_roundtrip", on_listing("select seq, name, promotion_text, badge_text from listing"))
 def csv_roundtrip(spark, folder):
     path = scratch_path(spark, "csv")

@@ -19,12 +19,15 @@ def union_toggle(catalogue: DataFrame, watchlist: DataFrame, just_watchlist: boo
 
 
 def sort_name(df: DataFrame, then_by: Sequence[str] = ()) -> DataFrame:
-    """By name, nulls first, in byte order.
+    """By name, nulls first, in byte order; rows of one name by ``then_by``, or by a hash of the row.
 
-    ``then_by`` breaks ties, which also lets a very common name spread over
-    several sort ranges.
+    Either way rows of one name differ in what they are sorted by, so a very common name
+    spreads over several sort ranges. Only rows that are equal throughout stay together.
     """
-    return df.orderBy(F.asc_nulls_first("name"), *then_by)
+    if then_by:
+        return df.orderBy(F.asc_nulls_first("name"), *then_by)
+    hashable = [F.col(f"`{f.name}`") for f in df.schema if "map<" not in f.dataType.simpleString()]
+    return df.orderBy(F.asc_nulls_first("name"), F.xxhash64(*hashable))
 
 
 def ordered_head(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:

@@ -22,6 +22,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from pricelane.sources.tables import clustered, indexed
+
 MANIFEST = (
     "shop string, run_date date, version bigint, run string, kind string, columns string, "
     "n_rows bigint, published_at timestamp"
@@ -68,7 +70,10 @@ def write_table(df: DataFrame, root: str, kind: str, run: Run, number: str) -> i
     placed = df.observe(counted, F.count(F.lit(1)).alias("n_rows")).withColumns(
         {"shop": F.lit(run.shop), "run_date": F.lit(run.run_date), "run": F.lit(number)}
     )
-    placed.write.mode("append").partitionBy(*PLACE).parquet(f"{root}/tables/{kind}")
+    writer = placed.write
+    if "name" in df.columns:  # a search by name then reads little of a file
+        writer = indexed(clustered(placed, *PLACE).write)
+    writer.mode("append").partitionBy(*PLACE).parquet(f"{root}/tables/{kind}")
     return counted.get["n_rows"]
 
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
+from pricelane.fixed_values import LISTING_COLUMNS
 from pricelane.operators.nested import json_items
 from pricelane.sources import json_arrays
 
@@ -48,19 +51,31 @@ def read_items(spark: SparkSession, path: str, arrays: bool = False) -> DataFram
     return json_items(raw.select(record.alias("json")))
 
 
+#: Bytes of a row group in a stored listing: small enough that a search by name skips most of a file.
+ROW_GROUP_BYTES = 8 << 20
+
+
+def clustered(df: DataFrame, *places: str) -> DataFrame:
+    """Rows of each place in order of their names, a hot place over many tasks, small leftovers merged."""
+    return df.hint("rebalance", *places).sortWithinPartitions(*places, "name")
+
+
+def indexed(writer: DataFrameWriter) -> DataFrameWriter:
+    """Small row groups with a Bloom filter of their names; with ``clustered`` their name ranges hardly overlap."""
+    return writer.options(
+        **{"parquet.block.size": str(ROW_GROUP_BYTES), "parquet.bloom.filter.enabled#name": "true"}
+    )
+
+
 def write_dated(listing: DataFrame, path: str) -> None:
     """Store a listing by retailer and day; writing a day again replaces that day.
 
     The rebalance hint sizes the files: small leftovers are merged and a shop
-    that holds most rows is split over many tasks.
+    that holds most rows is split over many tasks. Rows lie by name within a
+    file, so that a search for names reads the row groups that may hold them.
     """
-    (
-        listing.hint("rebalance", "Retailer", "Date")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("Retailer", "Date")
-        .parquet(path)
-    )
+    writer = clustered(listing, "Retailer", "Date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    indexed(writer).partitionBy("Retailer", "Date").parquet(path)
 
 
 def read_dated(
@@ -70,6 +85,17 @@ def read_dated(
     return spark.read.schema(schema).parquet(path).select(*columns)
 
 
+def find_names(spark: SparkSession, path: str, names: list[str], columns: tuple[str, ...] = LISTING_COLUMNS) -> DataFrame:
+    """Rows of a stored listing with one of a few names, through the row groups that may hold them.
+
+    Each name is a filter of its own for the scan, as a list of names is only known to it by its least and greatest.
+    """
+    rows = read_dated(spark, path, columns)
+    if not names:
+        return rows.where(F.lit(False))
+    return rows.where(reduce(Column.__or__, (F.col("name") == name for name in dict.fromkeys(names))))
+
+
 # Quotes are doubled, outer spaces belong to the value.
 _CSV = {
     "header": True,
