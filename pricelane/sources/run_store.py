@@ -67,13 +67,12 @@ def write_table(df: DataFrame, root: str, kind: str, run: Run, number: str) -> i
     if clash:
         raise ValueError(f"{kind} has columns of the store: {sorted(clash)}")
     counted = Observation(f"rows-{kind}-{number}")
-    placed = df.observe(counted, F.count(F.lit(1)).alias("n_rows")).withColumns(
-        {"shop": F.lit(run.shop), "run_date": F.lit(run.run_date), "run": F.lit(number)}
-    )
-    writer = placed.write
-    if "name" in df.columns:  # a search by name then reads little of a file
-        writer = indexed(clustered(placed, *PLACE).write)
-    writer.mode("append").partitionBy(*PLACE).parquet(f"{root}/tables/{kind}")
+    placed = df.withColumns({"shop": F.lit(run.shop), "run_date": F.lit(run.run_date), "run": F.lit(number)})
+    named = "name" in df.columns
+    if named:  # a search by name then reads little of a file
+        placed = clustered(placed, *PLACE)
+    writer = placed.observe(counted, F.count(F.lit(1)).alias("n_rows")).write
+    (indexed(writer) if named else writer).mode("append").partitionBy(*PLACE).parquet(f"{root}/tables/{kind}")
     return counted.get["n_rows"]
 
 
