@@ -29,7 +29,7 @@ from pricelane.llm._common import documents, keyed_text, map_slices, stored, wor
 
 #: Words in a shingle and least similarity in percent, as the query takes them.
 WORDS, PERCENT = 3, 85
-BANDS, BINS_PER_BAND = 40, 5
+BANDS, BINS_PER_BAND = 60, 8
 BINS = BANDS * BINS_PER_BAND
 _CACHED_WORDS = 500_000
 _PROBES = 4096
@@ -224,12 +224,13 @@ def node_components(rows: DataFrame, some: DataFrame, nodes: DataFrame, n_words:
     wanted = labels.select(F.col("node").alias("doc_id"))
     sets = stored(full_sets(rows.join(wanted, "doc_id", "left_semi"), n_words).dropDuplicates(["node"]), "shingle-sets")
     links = tested = None
-    centers_each = 4
+    centers_each = 1
     while True:
         known = labels.join(labels.groupBy("component").agg(F.count("*").alias("weight")), "component")
         marked = live.join(known, "node")
         several = marked.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
-        live = stored(live.join(several.select("bucket"), "bucket", "left_semi"), "members")
+        several = stored(several.select("bucket"), "open-buckets")  # a plain table, so that the join can split a hot bucket
+        live = stored(live.join(several, "bucket", "left_semi"), "members")
         # the small components of a bucket meet the others, so the large one need not
         order = Window.partitionBy("bucket").orderBy("weight", F.desc("degree"), "node")
         ranked = live.join(known, "node").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= centers_each)
