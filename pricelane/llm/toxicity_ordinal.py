@@ -4,7 +4,8 @@ P(grade <= k) = logistic(threshold_k - score). One weight per feature serves all
 kept in order. Features are the distinct words of a text (letters only, lower case) and their first
 four to six letters, as far as they pass a chi-square screen. The fit takes accelerated proximal steps
 with an L1 penalty, so most weights are exactly 0 and long clean texts do not drift. It runs on a bounded
-sample of labelled rows; scoring reads all rows and shuffles nothing.
+sample of labelled rows, whose features Spark counts and screens before the driver gets any; scoring reads all
+rows and shuffles nothing.
 
 Labels say toxic or not. Grades 1 to 3 of toxic rows come from the number of their features that the
 sample holds nearly only in toxic rows, cut at its terciles over the toxic rows of the sample.
@@ -25,12 +26,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelane.llm._common import documents, keyed_text, map_slices, table, worker_cache
+from pricelane.llm._common import documents, keyed_text, map_slices, stored, table, worker_cache
 
 #: Labelled rows of each kind that the fit sees, about; rows are chosen by the hash of their key.
 SAMPLE_ROWS = 3000
 #: Chi-square of a feature's presence against toxic or not, from which the fit uses it.
 MIN_CHI_SQUARE = 15.0
+#: Log of how much more often toxic rows hold a feature, from which it marks them.
+MARK_FROM = 3
 GRADES = 4
 #: Probability of any toxicity from which a text counts as toxic.
 TOXIC_FROM = 0.3
@@ -108,44 +111,46 @@ def fit_ordinal(
     return OrdinalModel(weights, np.cumsum(here[m:]))
 
 
-class Sample:
-    """Labelled rows as one flat array of feature places."""
+class Counts(NamedTuple):
+    """How many sampled rows of each kind hold which feature, for features that the fit or the grades need."""
 
-    def __init__(self, features: list[np.ndarray], toxic: np.ndarray):
-        self.toxic = toxic
-        self.row = np.repeat(np.arange(len(features)), [len(f) for f in features])
-        self.names, self.at = np.unique(np.concatenate([*features, np.zeros(0, np.int64)]), return_inverse=True)
-        pairs = np.unique(self.row * max(1, len(self.names)) + self.at)
-        row, at = np.divmod(pairs, max(1, len(self.names)))
-        self.clean = np.bincount(at[~toxic[row]], minlength=len(self.names))  # rows that have the feature
-        self.bad = np.bincount(at[toxic[row]], minlength=len(self.names))
+    n: int
+    n_bad: int
+    names: np.ndarray  # ascending
+    clean: np.ndarray
+    bad: np.ndarray
 
     def wanted(self, least: float = MIN_CHI_SQUARE) -> np.ndarray:
         """Which features depend on the kind of row."""
-        n, n_bad = float(len(self.toxic)), float(self.toxic.sum())
-        have = (self.clean + self.bad).astype(float)
-        gap = self.bad * n - have * n_bad
-        return n * gap * gap / np.maximum(1.0, have * (n - have) * n_bad * (n - n_bad)) >= least
-
-    def grades(self, n_grades: int = GRADES) -> np.ndarray:
-        """Grade 0 for clean rows; 1 and up for toxic rows by the number of features that mark toxic rows."""
-        n, n_bad = len(self.toxic), int(self.toxic.sum())
-        marks = np.log((self.bad + 0.5) / n_bad) - np.log((self.clean + 0.5) / (n - n_bad)) > 3
-        found = np.bincount(self.row, marks[self.at], minlength=n)
-        bounds = np.quantile(found[self.toxic], np.arange(1, n_grades - 1) / (n_grades - 1))
-        return np.where(self.toxic, 1 + np.searchsorted(bounds, found, side="left"), 0)
-
-    def kept(self, wanted: np.ndarray) -> list[np.ndarray]:
-        """The wanted features of each row."""
-        inside = wanted[self.at]
-        edges = np.searchsorted(self.row[inside], np.arange(len(self.toxic) + 1))
-        chosen = self.names[self.at[inside]]
-        return [np.unique(chosen[a:b]) for a, b in zip(edges, edges[1:])]
+        return chi_square(float(self.n), float(self.n_bad), self.clean.astype(float), self.bad.astype(float)) >= least
+
+    def marks(self) -> np.ndarray:
+        """Which features the sample holds nearly only in toxic rows."""
+        return np.log((self.bad + 0.5) / self.n_bad) - np.log((self.clean + 0.5) / (self.n - self.n_bad)) > MARK_FROM
+
+
+def chi_square(n, n_bad, clean, bad):
+    """Of a feature's presence against the kind of row; for numbers, arrays or columns."""
+    have = clean + bad
+    gap = bad * n - have * n_bad
+    return n * gap * gap / (have * (n - have) * (n_bad * (n - n_bad)) + 1e-9)
+
+
+def toxic_grades(features: list[np.ndarray], toxic: np.ndarray, counts: Counts, n_grades: int = GRADES) -> np.ndarray:
+    """Grade 0 for clean rows; 1 and up for toxic rows by the number of features that mark toxic rows."""
+    marks = counts.names[counts.marks()]
+    found = np.array([np.isin(f, marks).sum() for f in features])
+    bounds = np.quantile(found[toxic], np.arange(1, n_grades - 1) / (n_grades - 1))
+    return np.where(toxic, 1 + np.searchsorted(bounds, found, side="left"), 0)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, rows_of_each: int = SAMPLE_ROWS) -> tuple[DataFrame, dict[int, int]]:
-    """``toxic, features`` of about ``rows_of_each`` labelled rows of each kind; labelled rows of each kind."""
+    """``toxic, features`` of about ``rows_of_each`` labelled rows of each kind; labelled keys of each kind.
+
+    A key with several labels counts as toxic if one of them says so.
+    """
     known = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where("doc_id is not null and toxic in (0, 1)")
+    known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     sizes = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}  # two rows
     share = F.when(F.lit(False), 1.0)
     for kind, size in sizes.items():
@@ -155,27 +160,49 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows_of_each: int = SAMP
     rows = keyed_text(docs).join(F.broadcast(chosen), "doc_id")
 
     def work(batch: pa.RecordBatch) -> dict:
-        return {"toxic": batch.column("toxic"), "features": pa.array([text_features(t) for t in batch.column("text").to_pylist()], pa.list_(pa.int64()))}
+        return {"toxic": batch.column("toxic"), "features": pa.array([np.unique(text_features(t)) for t in batch.column("text").to_pylist()], pa.list_(pa.int64()))}
 
     return map_slices(rows.select("toxic", "text"), work, "toxic int, features array<long>"), sizes
 
 
+def screened(rows: DataFrame, n: int, n_bad: int) -> Counts:
+    """Counts of the features that pass the screen or mark toxic rows; Spark counts, the driver gets what passes."""
+    counts = rows.select("toxic", F.explode("features").alias("name")).groupBy("name").agg(
+        F.sum("toxic").cast("double").alias("bad"), F.sum(1 - F.col("toxic")).cast("double").alias("clean")
+    )
+    apart = F.log((F.col("bad") + 0.5) / n_bad) - F.log((F.col("clean") + 0.5) / (n - n_bad))
+    near = (chi_square(F.lit(float(n)), F.lit(float(n_bad)), F.col("clean"), F.col("bad")) >= 0.999 * MIN_CHI_SQUARE) | (apart > 0.999 * MARK_FROM)
+    found = counts.where(near).orderBy("name").toArrow()  # the bounds themselves are held in one place, here
+    return Counts(n, n_bad, *(found.column(c).to_numpy() for c in ("name", "clean", "bad")))
+
+
 def train(docs: DataFrame, labels: DataFrame, rows_of_each: int = SAMPLE_ROWS) -> OrdinalModel:
-    """The model of a bounded sample; the driver holds the sample's feature numbers only.
+    """The model of a bounded sample; the driver holds the sample's screened features only.
 
     The sample takes clean rows more thinly, so all thresholds are moved by what that did to the odds.
     """
     rows, sizes = labelled_sample(docs, labels, rows_of_each)
-    sample = rows.toArrow()
-    toxic = np.array(sample.column("toxic").to_pylist(), bool)
-    features = [np.sort(f) for f in sample.column("features").to_numpy()] if len(toxic) else []
-    del sample  # the driver keeps one copy
-    if not toxic.any() or toxic.all():
+    rows = stored(rows, "labelled")
+    n_of = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
+    if not n_of.get(0) or not n_of.get(1):
         return OrdinalModel({}, np.full(GRADES - 1, 30.0))
+    counts = screened(rows, n_of[0] + n_of[1], n_of[1])
+    names = counts.names
+
+    def work(batch: pa.RecordBatch) -> dict:
+        return {"toxic": batch.column("toxic"), "features": pa.array([f[np.isin(f, names)] for f in batch.column("features").to_numpy(zero_copy_only=False)], pa.list_(pa.int64()))}
+
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict(work(batch))
+
+    sample = rows.mapInArrow(run, "toxic int, features array<long>").toArrow()
+    toxic = np.array(sample.column("toxic").to_pylist(), bool)
+    features = [np.asarray(f, np.int64) for f in sample.column("features").to_pylist()]
     order = np.lexsort(([zlib.crc32(f.tobytes()) for f in features], toxic))  # not the order of arrival
     features, toxic = [features[i] for i in order], toxic[order]
-    chosen = Sample(features, toxic)
-    weights, thresholds = fit_ordinal(chosen.kept(chosen.wanted()), chosen.grades())
+    wanted = names[counts.wanted()]
+    weights, thresholds = fit_ordinal([f[np.isin(f, wanted)] for f in features], toxic_grades(features, toxic, counts))
     thinned = np.log(sizes[0] / sizes[1]) - np.log((~toxic).sum() / toxic.sum())
     return OrdinalModel(weights, thresholds + max(0.0, float(thinned)))
 
@@ -183,8 +210,8 @@ def train(docs: DataFrame, labels: DataFrame, rows_of_each: int = SAMPLE_ROWS) -
 def text_scores(texts: list[str], model: OrdinalModel) -> np.ndarray:
     """The score of each text: the weights of its features."""
     kept = worker_cache().setdefault("toxicity", {})
-    if kept.get("of") is not model or len(kept["words"]) > _CACHED_WORDS:
-        kept["of"], kept["words"] = model, {}
+    if kept.get("of") is not model.weights or len(kept["words"]) > _CACHED_WORDS:
+        kept["of"], kept["words"] = model.weights, {}
     known: dict[str, tuple] = kept["words"]
     scores = []
     for text in texts:
@@ -201,10 +228,10 @@ def text_scores(texts: list[str], model: OrdinalModel) -> np.ndarray:
 def score_rows(df: DataFrame, model: OrdinalModel, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, score, severity, grade, p_toxic``; severity is the expected grade, grade the most likely one."""
     rows = keyed_text(df, key, text)
-    shared = rows.sparkSession.sparkContext.broadcast(model)  # features of the bounded sample at most
+    shared = rows.sparkSession.sparkContext.broadcast(tuple(model))  # plain parts: features of the bounded sample at most
 
     def work(batch: pa.RecordBatch) -> dict:
-        own = shared.value
+        own = OrdinalModel(*shared.value)
         scores = text_scores(batch.column("text").to_pylist(), own)
         over = above(scores, own.thresholds)
         shares = -np.diff(np.column_stack([np.ones(len(scores)), over, np.zeros(len(scores))]), axis=1)
@@ -219,10 +246,10 @@ def score_rows(df: DataFrame, model: OrdinalModel, key: str = "doc_id", text: st
 
 def without_toxic(df: DataFrame, model: OrdinalModel, text: str = "text", toxic_from: float = TOXIC_FROM) -> DataFrame:
     """The rows of ``df`` whose text is not toxic, with all their columns; no shuffle."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared = df.sparkSession.sparkContext.broadcast(tuple(model))
 
     def run(batches):
-        own = shared.value
+        own = OrdinalModel(*shared.value)
         for batch in batches:
             scores = text_scores([t or "" for t in batch.column(text).to_pylist()], own)
             clean = above(scores, own.thresholds)[:, 0] < toxic_from

@@ -1,3 +1,8 @@
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,6 +10,8 @@ import __spark_entry__ as driver
 import corpus_pipeline
 from pricelane.llm import minhash_oph, spaced_seeds, toxicity_ordinal
 
+ROOT = Path(__file__).resolve().parents[2]
+
 
 @pytest.fixture(scope="module")
 def stages(spark, folder, tmp_path_factory):
@@ -41,6 +48,23 @@ def test_run_gives_the_last_stage(spark, folder, stages):
     assert keys(got) == keys(stages["tokens"]) and got.columns == stages["tokens"].columns
 
 
-def test_all_eleven_are_registered():
+def test_workers_need_no_import(folder, tmp_path):
+    """Another session, started elsewhere, without the repository on the workers' path."""
+    code = f"""
+import importlib.util, sys
+spec = importlib.util.spec_from_file_location("__spark_entry__", {str(ROOT / "__spark_entry__.py")!r})
+entry = importlib.util.module_from_spec(spec)
+spec.loader.exec_module(entry)
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", {str(tmp_path)!r}).getOrCreate()
+for name in ("op1_pii_crf", "op2_toxicity_ordinal", "op11_whitening", "op12_treap_search", "op13_va_search", "pipeline"):
+    print(name, entry.queries()[name](spark, {folder!r}).count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"} | {"PYSPARK_PYTHON": sys.executable}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
+    assert done.returncode == 0 and "pipeline" in done.stdout, done.stderr[-2000:]
+
+
+def test_all_are_registered():
     names = set(driver.queries())
-    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))

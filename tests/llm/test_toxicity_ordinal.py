@@ -13,9 +13,12 @@ def test_thresholds_are_ordered_and_weights_find_the_words():
         picked = list(rng.choice(common, 40)) + list(rng.choice(bad, grade, replace=False))
         texts.append(" ".join(picked))
         grades.append(grade)
-    features = [tox.text_features(t) for t in texts]
-    sample = tox.Sample([np.sort(f) for f in features], np.array(grades) > 0)
-    model = tox.fit_ordinal(sample.kept(sample.wanted()), np.array(grades))
+    features, toxic = [np.unique(tox.text_features(t)) for t in texts], np.array(grades) > 0
+    names, at = np.unique(np.concatenate(features), return_inverse=True)
+    row = np.repeat(np.arange(len(texts)), [len(f) for f in features])
+    counts = tox.Counts(len(texts), int(toxic.sum()), names, np.bincount(at[~toxic[row]], minlength=len(names)), np.bincount(at[toxic[row]], minlength=len(names)))
+    wanted = names[counts.wanted()]
+    model = tox.fit_ordinal([f[np.isin(f, wanted)] for f in features], np.array(grades))
     assert (np.diff(model.thresholds) > 0).all()
     scores = tox.text_scores(texts, model)
     over = tox.above(scores, model.thresholds)
