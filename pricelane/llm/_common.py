@@ -37,9 +37,9 @@ def native_words(text: Column) -> Column:
     return F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
 
 
-def slices(batch: pa.RecordBatch, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, limit: int = SLICE_BYTES, text: str = "text") -> Iterator[pa.RecordBatch]:
     """Runs of rows that stay below ``limit`` bytes of the ``text`` column, one row at least."""
-    lengths = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()
+    lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist()
     start = size = 0
     for at, length in enumerate(lengths):
         if size + length > limit and at > start:
@@ -69,8 +69,14 @@ def map_slices(df: DataFrame, work: Callable[[pa.RecordBatch], dict], schema: st
     return df.mapInArrow(run, schema)
 
 
-def worker_cache() -> dict:
-    """A dictionary that lives as long as the Python worker, for models and bounded caches."""
+def worker_cache(owner: str) -> dict:
+    """A dictionary of one operator that lives as long as the Python worker, for models and bounded caches.
+
+    Workers go on from stage to stage; what another operator has kept goes when the next one asks.
+    """
     name = "pricelane_worker_cache"
     module = sys.modules.setdefault(name, types.ModuleType(name))
-    return module.__dict__.setdefault("kept", {})
+    kept = module.__dict__.setdefault("kept", {})
+    if owner not in kept:
+        kept.clear()
+    return kept.setdefault(owner, {})

@@ -194,7 +194,7 @@ class Codec:
 
 
 def codec(path: str) -> Codec:
-    kept = worker_cache()
+    kept = worker_cache("bpe")
     return kept[("bpe", path)] if ("bpe", path) in kept else kept.setdefault(("bpe", path), Codec(path))
 
 

@@ -48,7 +48,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 def word_hashes(words: list[bytes]) -> list[int]:
     import xxhash
 
-    kept = worker_cache()
+    kept = worker_cache("minhash")
     known = kept.get("words")
     if known is None or len(known) > _CACHED_WORDS:
         known = kept["words"] = {}
@@ -87,7 +87,7 @@ def shingle_sets(texts: list[str], n_words: int) -> tuple[np.ndarray, np.ndarray
 
 def probing() -> np.ndarray:
     """For each attempt and empty bin, the bin to look at; the same for all texts."""
-    kept = worker_cache()
+    kept = worker_cache("minhash")
     if "probes" not in kept:
         seeds = np.arange(_PROBES * BINS, dtype=np.uint64).reshape(_PROBES, BINS)
         kept["probes"] = (mixed(seeds * _STEP + np.uint64(7)) >> np.uint64(32)).astype(np.int64) % BINS

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelane.llm._common import documents, keyed_text, map_slices
+from pricelane.llm._common import documents, keyed_text, map_slices, slices
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("", *KINDS)
@@ -358,7 +358,7 @@ def redact(df: DataFrame, field: Field | None, text: str = "text", n_chars: str
 
     def run(batches):
         own = shared.value and Field(*shared.value)
-        for batch in batches:
+        for batch in (p for whole in batches for p in slices(whole, text=text)):
             texts, lengths = batch.column(text).to_pylist(), batch.column(n_chars).to_pylist()
             for k, t in enumerate(texts):
                 base = base_spans(t or "")

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelane.llm._common import documents, keyed_text, map_slices, stored, table, worker_cache
+from pricelane.llm._common import documents, keyed_text, map_slices, slices, stored, table, worker_cache
 
 #: Labelled rows of each kind that the fit sees, about; rows are chosen by the hash of their key.
 SAMPLE_ROWS = 3000
@@ -209,7 +209,7 @@ def train(docs: DataFrame, labels: DataFrame, rows_of_each: int = SAMPLE_ROWS) -
 
 def text_scores(texts: list[str], model: OrdinalModel) -> np.ndarray:
     """The score of each text: the weights of its features."""
-    kept = worker_cache().setdefault("toxicity", {})
+    kept = worker_cache("toxicity")
     if kept.get("of") is not model.weights or len(kept["words"]) > _CACHED_WORDS:
         kept["of"], kept["words"] = model.weights, {}
     known: dict[str, tuple] = kept["words"]
@@ -250,11 +250,11 @@ def without_toxic(df: DataFrame, model: OrdinalModel, text: str = "text", toxic_
 
     def run(batches):
         own = OrdinalModel(*shared.value)
-        for batch in batches:
-            scores = text_scores([t or "" for t in batch.column(text).to_pylist()], own)
+        for piece in (p for batch in batches for p in slices(batch, text=text)):
+            scores = text_scores([t or "" for t in piece.column(text).to_pylist()], own)
             clean = above(scores, own.thresholds)[:, 0] < toxic_from
             if clean.any():
-                yield batch.filter(pa.array(clean))
+                yield piece.filter(pa.array(clean))
 
     return df.mapInArrow(run, df.schema)
 
