@@ -3,13 +3,14 @@
 Tokens are runs of letters and digits, in lower case. Fixed masks look at six of nine neighbouring
 tokens and ignore the others, so a seed survives substitutions at the ignored places. Seeds of all test items
 are joined with the seeds of all documents. Around each hit, the item's window of up to ``WINDOW`` tokens is
-laid over the document at the hit's offset; the overlap counts if enough tokens agree.
+laid over the document at the hit's offset; the overlap counts if enough tokens agree. An item with fewer than nine
+tokens has one seed of all its tokens, which documents must hold word for word; ``min_tokens`` says
+from which length an item is more than a phrase of ordinary text.
 
 Everything is DataFrame functions. The seeds of the items are broadcast only if their counted rows stay
 below ``BROADCAST_SEEDS``; beyond that Spark joins by shuffling, with the same rows.
 
-Defined results: null or empty texts have no seeds, nor have texts and items with fewer than nine tokens;
-texts of any length are read whole; places beyond a document's end count as disagreement; repeated rows
+Defined results: null or empty texts have no seeds, nor have items with fewer than ``min_tokens`` tokens; texts of any length are read whole; places beyond a document's end count as disagreement; repeated rows
 give one match per key and item; a null key takes no part and stays in ``without_matches``; empty tables
 give no rows; columns other than key and text may have any name.
 """
@@ -26,6 +27,8 @@ SPAN = 9
 MASKS = ((0, 1, 3, 4, 7, 8), (0, 2, 3, 5, 6, 8), (0, 1, 2, 5, 7, 8))
 #: Tokens of an item around a hit, and the share of them that must agree.
 WINDOW, MIN_SHARE = 20, 0.7
+#: Tokens that an item needs to be looked for; shorter ones are ordinary phrases.
+MIN_TOKENS = 4
 #: Rows of 24 bytes, about 50 MB.
 BROADCAST_SEEDS = 2_000_000
 
@@ -43,12 +46,32 @@ def seeds(rows: DataFrame, key: str) -> DataFrame:
     return windows.select(key, "pos", F.explode(F.array(*masked)).alias("seed"))
 
 
-def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
+def whole_seeds(rows: DataFrame, key: str, lengths: list[int]) -> DataFrame:
+    """``key, pos, seed`` for each run of as many tokens as one of ``lengths`` says."""
+    hashed = rows.select(key, F.transform("tokens", lambda w: F.xxhash64(w)).alias("h"))
+
+    def runs(n: int) -> Column:
+        found = F.transform(
+            F.sequence(F.lit(0), F.size("h") - n), lambda i: F.struct(i.alias("pos"), F.xxhash64(F.lit(-n), F.slice("h", i + 1, n)).alias("seed"))
+        )
+        return F.when(F.size("h") >= n, found).otherwise(F.array().cast("array<struct<pos:int,seed:bigint>>"))
+
+    return hashed.select(key, F.inline(F.concat(*map(runs, lengths))))
+
+
+def hits(docs: DataFrame, items: DataFrame, min_tokens: int = MIN_TOKENS) -> DataFrame:
     """``doc_id, item_id, pos, item_pos`` where a seed of a document is one of an item."""
-    wanted = seeds(items, "item_id").select("item_id", F.col("pos").alias("item_pos"), "seed").distinct()
+    wanted, held = seeds(items, "item_id"), seeds(docs, "doc_id")
+    short = items.where(F.size("tokens").between(max(1, min_tokens), SPAN - 1))
+    lengths = sorted(r["n"] for r in short.select(F.size("tokens").alias("n")).distinct().collect())  # eight rows at most
+    for n in lengths:
+        wanted = wanted.unionByName(whole_seeds(short.where(F.size("tokens") == n), "item_id", [n]))
+    if lengths:
+        held = held.unionByName(whole_seeds(docs, "doc_id", lengths))
+    wanted = wanted.select("item_id", F.col("pos").alias("item_pos"), "seed").distinct()
     if wanted.limit(BROADCAST_SEEDS + 1).count() <= BROADCAST_SEEDS:
         wanted = F.broadcast(wanted)
-    return seeds(docs, "doc_id").join(wanted, "seed").select("doc_id", "item_id", "pos", "item_pos").distinct()
+    return held.join(wanted, "seed").select("doc_id", "item_id", "pos", "item_pos").distinct()
 
 
 def agreement(doc: Column, item: Column, pos: Column, item_pos: Column, window: int = WINDOW) -> tuple[Column, Column]:
@@ -60,11 +83,11 @@ def agreement(doc: Column, item: Column, pos: Column, item_pos: Column, window:
     return F.size(same), length
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", min_share: float = MIN_SHARE) -> DataFrame:
+def matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", min_share: float = MIN_SHARE, min_tokens: int = MIN_TOKENS) -> DataFrame:
     """``doc_id, item_id, agreeing, compared, n_hits``: the best confirmed window of each document and item."""
     texts = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).where(F.col("doc_id").isNotNull())
     items = benchmark.select("item_id", tokens(F.col("text")).alias("tokens")).where("item_id is not null")
-    found = hits(texts.select("doc_id", tokens(F.col("text")).alias("tokens")), items)
+    found = hits(texts.select("doc_id", tokens(F.col("text")).alias("tokens")), items, min_tokens)
     # one list per document, no longer than its seeds that hit, so that its text is split once
     by_doc = found.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "pos", "item_pos")).alias("hits"))
     laid = (
@@ -102,7 +125,10 @@ with d as (select doc_id as k, {split} as t from documents where doc_id is not n
 b as (select item_id as k, {split} as t from benchmark where item_id is not null),
 dw as (select k, t, unnest(range(len(t) - {SPAN - 1})) as i from d where len(t) >= {SPAN}),
 bw as (select k, t, unnest(range(len(t) - {SPAN - 1})) as i from b where len(t) >= {SPAN}),
-ds as ({seed.format("dw")}), bs as ({seed.format("bw")}),
+n as (select distinct len(t) as n from b where len(t) between {MIN_TOKENS} and {SPAN - 1}),
+dn as (select k, t, n, unnest(range(len(t) - n + 1)) as i from d, n where len(t) >= n),
+ds as ({seed.format("dw")} union all select k, i, -n, t[i + 1:i + n] from dn),
+bs as ({seed.format("bw")} union all select k, 0, -len(t), t from b where len(t) between {MIN_TOKENS} and {SPAN - 1}),
 h as (select distinct ds.k as doc_id, bs.k as item_id, ds.i as pos, bs.i as item_pos from ds join bs using (mask, seed)),
 w as (select h.*, d.t as dt, b.t as bt, least(len(b.t), {WINDOW}) as n from h join d on d.k = doc_id join b on b.k = item_id),
 s as (select *, greatest(0, least(item_pos - {half}, len(bt) - n)) as a from w),

@@ -35,6 +35,34 @@ def test_odd_rows(spark, benchmark):
     assert spaced_seeds.matches(docs(spark, rows), benchmark.limit(0)).count() == 0
 
 
+def test_short_items_word_for_word(spark):
+    items = spark.createDataFrame(
+        [(1, "What is the capital city of France?"), (2, "one two three four"), (3, "the end"), (4, "a b c d e f g h"), (5, "a b c d e f g h")],
+        "item_id long, text string",
+    )
+    rows = [
+        (1, "He asked: what is the capital city of France, twice. What is the capital city of France"), (2, "what is the capital town of France"),
+        (3, "One, two. Three four"), (4, "one two three"), (5, "the end of the text"), (6, "x a b c d e f g h"), (7, None), (8, ""),
+    ]
+    got = spaced_seeds.matches(docs(spark, rows), items).collect()
+    assert sorted(tuple(r) for r in got) == [(1, 1, 7, 7, 2), (3, 2, 4, 4, 1), (6, 4, 8, 8, 1), (6, 5, 8, 8, 1)]
+    found = spaced_seeds.matches(docs(spark, rows), items, min_tokens=1)
+    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == {(1, 1), (3, 2), (5, 3), (6, 4), (6, 5)}
+
+
+def test_short_items_agree_with_the_sql(spark, tmp_path):
+    rows = [(k, " ".join(f"w{(k * 7 + j * j) % 11}" for j in range(k % 40))) for k in range(120)]
+    items = [(k, " ".join(f"w{(k * 3 + j * j) % 11}" for j in range(k % 14))) for k in range(60)]
+    docs(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    connection = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        connection.execute(f"create view {name} as select * from '{tmp_path}/{name}.parquet/*.parquet'")
+    want = connection.execute(spaced_seeds.ORACLE_SQL).fetchall()
+    got = spaced_seeds.op5_spaced_seeds(spark, str(tmp_path)).select("doc_id", "item_id", "agreeing", "compared", "n_hits").collect()
+    assert sorted(map(tuple, got)) == sorted(want) and len({r["item_id"] % 14 for r in got if r["item_id"] % 14 < 9}) > 2
+
+
 def test_query_agrees_with_its_sql(spark, folder):
     connection = duckdb.connect()
     for name in ("documents", "benchmark"):
