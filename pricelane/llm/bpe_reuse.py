@@ -92,6 +92,8 @@ class Codec:
             said = json.load(file)
         if said["model"]["type"] != "BPE" or said["pre_tokenizer"]["type"] != "ByteLevel" or said["normalizer"]:
             raise ValueError("a byte-level BPE file without a normalizer is needed")
+        if said["pre_tokenizer"].get("add_prefix_space") or not said["pre_tokenizer"].get("use_regex", True):
+            raise ValueError("a file that adds a space before texts, or splits them without the usual pattern, is not supported")
         self.library = Tokenizer.from_file(path)
         self.library.no_padding()
         self.library.no_truncation()

@@ -1,3 +1,5 @@
+import json
+
 import numpy as np
 import pytest
 
@@ -22,6 +24,15 @@ def test_ids_and_texts_are_the_librarys(codec, text):
     assert codec.decode(ids) == codec.library.decode(ids, skip_special_tokens=False) == text
 
 
+@pytest.mark.parametrize("setting", [{"add_prefix_space": True}, {"use_regex": False}])
+def test_other_splits_are_refused(tmp_path, setting):
+    said = json.loads(open(bpe_reuse.default_tokenizer(), encoding="utf-8").read())
+    said["pre_tokenizer"].update(setting)
+    (tmp_path / "other.json").write_text(json.dumps(said), encoding="utf-8")
+    with pytest.raises(ValueError):
+        bpe_reuse.Codec(str(tmp_path / "other.json"))
+
+
 def test_random_texts(codec):
     rng = np.random.default_rng(3)
     words = np.array(["the", " ", "  ", "\n", "naïve", "42", "'s", "!", "ß", "un", "re"])
