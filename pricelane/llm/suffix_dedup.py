@@ -304,7 +304,13 @@ def open_repeats(contexts: DataFrame, n_buckets: int) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept``: what is left of each text, as bytes."""
+    """``doc_id, n_bytes, n_removed, n_spans, kept``: what is left of each text, as bytes.
+
+    The key's order says which copy stays, so it has to be a whole number; other kinds of keys are refused.
+    """
+    kind = docs.select(F.col(key)).dtypes[0][1]
+    if kind not in ("tinyint", "smallint", "int", "bigint"):
+        raise ValueError(f"{key} is {kind}, a whole number is needed")
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_buckets = max(32, math.ceil(size / BUCKET_BYTES))

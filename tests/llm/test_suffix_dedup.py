@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from pricelane.llm import suffix_dedup
@@ -75,3 +76,8 @@ def test_buckets_have_equal_weight():
     seed = suffix_dedup.sampled(data, np.array([len(data)]))[4]
     sizes = np.bincount(np.searchsorted(suffix_dedup.seed_limits(50), seed, side="right"), minlength=50)
     assert len(sizes) == 50 and sizes.max() < 1.2 * sizes.mean()
+
+
+def test_keys_without_an_order_of_numbers_are_refused(spark):
+    with pytest.raises(ValueError, match="string"):
+        suffix_dedup.remove_repeats(spark.createDataFrame([("a", "text")], "doc_id string, text string"))
