@@ -7,8 +7,10 @@ there are no calls, no attributes of Python objects and no names but those that
 
 ``{{ x }}``, ``{% if %} {% elif %} {% else %} {% endif %}``, ``{% for x in xs %} {% endfor %}`` (with
 ``loop.index``, ``loop.index0``, ``loop.first``, ``loop.last``), ``{% set x = ... %}``,
-``{% generation %} {% endgeneration %}``, ``{# comment #}``; operators ``or and not == != < <= > >= in
-~ +``, subscripts ``x.name`` and ``x['name']``, filters ``trim upper lower length default(x) guard line``.
+``{% generation %} {% endgeneration %}``, ``{# comment #}``; a ``-`` inside a tag's bounds (``{%- -%}``) takes away
+the template's white space on that side; operators ``or and not == != < <= > >= in
+~ +``, subscripts ``x.name`` and ``x['name']``, filters ``trim upper lower length default(x) guard line``. Values
+that an operator or a filter can't take (none below a number, say) are a ``TemplateError``.
 
 Spark sorts the turns of a conversation, and a task renders them as they come, so a conversation of
 any length needs the memory of one part. Text goes out in parts of bounded length (one turn may be
@@ -206,7 +208,15 @@ class Expression:
 
 def parse(source: str) -> Node:
     """The syntax tree of a template: a ``list`` node of texts, expressions and blocks."""
-    parts = [p for p in _TAGS.split(source) if p]
+    parts = _TAGS.split(source)  # texts and tags by turns
+    for k in range(1, len(parts), 2):
+        opening, inner, closing = parts[k][:2], parts[k][2:-2], parts[k][-2:]
+        if inner.startswith("-"):
+            inner, parts[k - 1] = inner[1:], parts[k - 1].rstrip()
+        if inner.endswith("-"):
+            inner, parts[k + 1] = inner[:-1], parts[k + 1].lstrip()
+        parts[k] = opening + inner + closing
+    parts = [p for p in parts if p]
     at = 0
 
     def block(*ends: str) -> tuple[Node, str]:
@@ -223,7 +233,7 @@ def parse(source: str) -> Node:
             if not part.startswith("{%"):
                 children.append(Node("text", part))
                 continue
-            word, _, rest = part[2:-2].strip("- \n").partition(" ")
+            word, _, rest = part[2:-2].strip().partition(" ")
             if word in ends:
                 return Node("list", None, tuple(children)), f"{word} {rest}"
             if word == "if":
@@ -285,6 +295,13 @@ def fold(node: Node) -> Node:
 
 
 # -- closures ----------------------------------------------------------------------
+def _applied(name: str, use: Callable, *values: object) -> object:
+    try:
+        return use(*values)
+    except (TypeError, AttributeError) as error:
+        raise TemplateError(f"{name!r} can't take {', '.join(type(v).__name__ for v in values)}") from error
+
+
 def value_of(node: Node) -> Callable[[dict], object]:
     """A closure from names to the value of an expression."""
     kids = [value_of(c) for c in node.children]
@@ -299,13 +316,13 @@ def value_of(node: Node) -> Callable[[dict], object]:
     if node.kind == "not":
         return lambda names: not kids[0](names)
     if node.kind == "compare":
-        return lambda names, test=_COMPARE[node.value]: test(kids[0](names), kids[1](names))
+        return lambda names, name=node.value: _applied(name, _COMPARE[name], kids[0](names), kids[1](names))
     if node.kind == "join":
         if node.value == "~":
             return lambda names: shown(kids[0](names)) + shown(kids[1](names))
-        return lambda names: kids[0](names) + kids[1](names)
+        return lambda names: _applied("+", lambda a, b: a + b, kids[0](names), kids[1](names))
     if node.kind == "filter":
-        return lambda names, use=_FILTERS[node.value]: use(*(kid(names) for kid in kids))
+        return lambda names, name=node.value: _applied(name, _FILTERS[name], *(kid(names) for kid in kids))
     if node.kind == "item":
 
         def item(names: dict) -> object:

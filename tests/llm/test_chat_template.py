@@ -22,6 +22,17 @@ def test_language():
     assert rendered("{% if not (1 == 2) and 'a' in 'cat' %}y{% else %}n{% endif %}") == "y"
 
 
+def test_white_space_is_trimmed_on_request():
+    assert rendered("a \n{%- if true -%}\n b {{- ' c ' -}} d {#- x -#} {%- endif %} e") == "ab c d e"
+    assert rendered("a {{ 1 }} b {{-1}}") == "a 1 b1"
+
+
+@pytest.mark.parametrize("bad", ["{{ x < 1 }}", "{{ 'a' + 1 }}", "{{ 1 in x }}", "{{ none < 1 }}"])
+def test_values_that_do_not_fit(bad):
+    with pytest.raises(chat.TemplateError):
+        rendered(bad)
+
+
 def test_constants_are_folded():
     tree = chat.fold(chat.parse("a{{ 'b' ~ 'c' }}{% if 1 == 1 %}d{% else %}{{ x }}{% endif %}{% if false %}e{% endif %}"))
     assert tree.children == (chat.Node("text", "abcd"),)
