@@ -9,6 +9,10 @@ pairs stay in proportion to the members. A center that has met all members of it
 members are all in one component are done. Rounds with more centers, those of small components first, go on until
 every bucket is done, so no two members of a bucket in different components stay uncompared. Links are confirmed on full shingle sets.
 
+Most members of a large bucket are near misses. A parity bitmap of each shingle set tells them apart where the
+bucket is joined: every bit in which two bitmaps differ stands for a shingle of only one of the sets, so a pair
+with too many such bits cannot be similar enough. The bound never drops a link; sets too large for the bitmap pass it.
+
 With the defaults a pair at the threshold shares no bucket with a chance below one in a million.
 
 Defined results: a null text, or one without words, has no shingles and is linked with nothing; fewer words
@@ -21,7 +25,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -31,6 +35,8 @@ from pricelane.llm._common import documents, keyed_text, map_slices, stored, wor
 WORDS, PERCENT = 3, 85
 BANDS, BINS_PER_BAND = 60, 8
 BINS = BANDS * BINS_PER_BAND
+#: 64-bit parts of a set's parity bitmap.
+PARITY_PARTS = 8
 _CACHED_WORDS = 500_000
 _PROBES = 4096
 
@@ -122,8 +128,22 @@ def band_hashes(row: np.ndarray, hashed: np.ndarray, n_rows: int) -> np.ndarray:
     return out
 
 
+def parity_bitmaps(row: np.ndarray, hashed: np.ndarray, n_rows: int) -> np.ndarray:
+    """``PARITY_PARTS`` numbers for each row; a bit says whether an odd number of shingles fell on it."""
+    bits = 64 * PARITY_PARTS
+    place = row * bits + (mixed(hashed ^ _STEP) % np.uint64(bits)).astype(np.int64)
+    odd = (np.bincount(place, minlength=n_rows * bits) & 1).astype(np.uint8)
+    return np.packbits(odd.reshape(n_rows, bits), axis=1).view(np.int64)
+
+
+def may_link(percent: int, n_a: Column, parity_a: Column, n_b: Column, parity_b: Column) -> Column:
+    """False only for sets that cannot be similar enough: too unlike in size, or in too many bits of their bitmaps."""
+    apart = sum((F.bit_count(parity_a[k].bitwiseXOR(parity_b[k])) for k in range(PARITY_PARTS)), F.lit(0))
+    return (100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)) & ((100 + percent) * apart <= (100 - percent) * (n_a + n_b))
+
+
 def sketches(rows: DataFrame, n_words: int) -> DataFrame:
-    """``doc_id, n_shingles, f1, f2, bands``: size, fingerprint and buckets of each shingle set."""
+    """``doc_id, n_shingles, f1, f2, parity, bands``: size, fingerprint, bitmap and buckets of each shingle set."""
     kind = dict(rows.dtypes)["doc_id"]
 
     def work(batch: pa.RecordBatch) -> dict:
@@ -136,10 +156,11 @@ def sketches(rows: DataFrame, n_words: int) -> DataFrame:
         return {
             "doc_id": batch.column("doc_id"), "n_shingles": pa.array(np.diff(edges)),
             "f1": pa.array((one[edges[1:]] - one[edges[:-1]]).astype(np.int64)), "f2": pa.array((two[edges[1:]] - two[edges[:-1]]).astype(np.int64)),
+            "parity": pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * PARITY_PARTS), pa.array(parity_bitmaps(row, hashed, n).ravel())),
             "bands": pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * BANDS), pa.array(bands.ravel())),
         }
 
-    return map_slices(rows, work, f"doc_id {kind}, n_shingles long, f1 long, f2 long, bands array<long>")
+    return map_slices(rows, work, f"doc_id {kind}, n_shingles long, f1 long, f2 long, parity array<long>, bands array<long>")
 
 
 def full_sets(rows: DataFrame, n_words: int) -> DataFrame:
@@ -214,33 +235,36 @@ def merged(components_of: DataFrame, links: DataFrame) -> DataFrame:
 def node_components(rows: DataFrame, some: DataFrame, nodes: DataFrame, n_words: int, percent: int) -> DataFrame:
     """``node, component`` of the nodes that have links."""
     members = some.join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").select(
-        F.col("doc_id").alias("node"), "n_shingles", F.explode("bands").alias("bucket")
+        F.col("doc_id").alias("node"), F.explode("bands").alias("bucket")
     )
     shared = members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     live = stored(members.join(shared, "bucket").distinct(), "members")
     # the middle of a group meets most
-    labels = stored(live.groupBy("node").agg(F.sum("size").alias("degree"), F.first("n_shingles").alias("n_shingles")).withColumn("component", F.col("node")), "labels")
+    about = some.select(F.col("doc_id").alias("node"), "n_shingles", "parity").dropDuplicates(["node"])
+    labels = stored(live.groupBy("node").agg(F.sum("size").alias("degree")).join(about, "node").withColumn("component", F.col("node")), "labels")
     live = live.select("bucket", "node")
     wanted = labels.select(F.col("node").alias("doc_id"))
     sets = stored(full_sets(rows.join(wanted, "doc_id", "left_semi"), n_words).dropDuplicates(["node"]), "shingle-sets")
     links = tested = None
     centers_each = 1
     while True:
-        known = labels.join(labels.groupBy("component").agg(F.count("*").alias("weight")), "component")
-        marked = live.join(known, "node")
+        marked = live.join(labels.select("node", "component"), "node")
         several = marked.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
         several = stored(several.select("bucket"), "open-buckets")  # a plain table, so that the join can split a hot bucket
         live = stored(live.join(several, "bucket", "left_semi"), "members")
         # the small components of a bucket meet the others, so the large one need not
+        known = labels.join(labels.groupBy("component").agg(F.count("*").alias("weight")), "component")
         order = Window.partitionBy("bucket").orderBy("weight", F.desc("degree"), "node")
         ranked = live.join(known, "node").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= centers_each)
-        center = stored(ranked.select("bucket", F.col("node").alias("center"), F.col("component").alias("of"), F.col("n_shingles").alias("n_center")), "centers")
+        center = stored(
+            ranked.select("bucket", F.col("node").alias("center"), F.col("component").alias("of"), F.col("n_shingles").alias("n_center"), F.col("parity").alias("parity_center")),
+            "centers",
+        )
         if center.isEmpty():
             break
-        met = live.join(center, "bucket").join(labels.select("node", "component", "n_shingles"), "node").where(
-            (F.col("component") != F.col("of"))
-            & (100 * F.least("n_shingles", "n_center") >= percent * F.greatest("n_shingles", "n_center"))  # else too unlike in size
-        )
+        side = live.join(labels.select("node", "component", "n_shingles", "parity"), "node")
+        likely = may_link(percent, F.col("n_shingles"), F.col("parity"), F.col("n_center"), F.col("parity_center"))
+        met = side.alias("s").join(center.alias("c"), (F.col("s.bucket") == F.col("c.bucket")) & (F.col("component") != F.col("of")) & likely)
         pairs = met.select(F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")

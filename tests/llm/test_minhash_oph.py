@@ -12,13 +12,17 @@ def brute(rows, n_words, percent):
     for key, text in rows:
         w = (text or "").encode().lower().split()
         sets[key] = {tuple(w[i : i + n_words]) for i in range(len(w) - n_words + 1)} if len(w) >= n_words else ({tuple(w)} if w else set())
-    label = {k: k for k in sets}
-    for _ in sets:
-        for a in sets:
-            for b in sets:
-                x = len(sets[a] & sets[b])
-                if sets[a] and sets[b] and 100 * x >= percent * (len(sets[a]) + len(sets[b]) - x):
-                    label[a] = label[b] = min(label[a], label[b])
+    links = []
+    for a in sets:
+        for b in sets:
+            x = len(sets[a] & sets[b])
+            if a != b and sets[a] and sets[b] and 100 * x >= percent * (len(sets[a]) + len(sets[b]) - x):
+                links.append((a, b))
+    label, before = {k: k for k in sets}, None
+    while label != before:
+        before = dict(label)
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
     return {k: (len(sets[k]), label[k], label[k] == k) for k in sets}
 
 
@@ -64,3 +68,48 @@ def test_a_hot_text_is_one_node(spark):
     rows = [(k, "same words in every one of these rows") for k in range(300)] + [(1000, "quite another text stands here")]
     got = minhash_oph.near_components(docs(spark, rows))
     assert got.where("kept").count() == 2
+
+
+@pytest.mark.parametrize("percent", [80, 85, 95])
+def test_bitmaps_never_rule_out_a_link(spark, percent):
+    rng = random.Random(percent)
+    texts = []
+    for size in (1, 2, 5, 30, 150, 900, 6000):  # far beyond the bitmap's bits too
+        words = [f"w{rng.randrange(10**9)}" for _ in range(size)]
+        for changes in (0, 1, 2, 3, size // 60, size // 40, size // 30, size // 20):
+            other = list(words)
+            for _ in range(changes):
+                other[rng.randrange(size)] = f"x{rng.randrange(10**9)}"
+            texts.append(" ".join(other))
+    row, hashed = minhash_oph.shingle_sets(texts, 3)
+    sets = [set(hashed[row == k].tolist()) for k in range(len(texts))]
+    parity = minhash_oph.parity_bitmaps(row, hashed, len(texts)).tolist()
+    table = spark.createDataFrame([(k, len(sets[k]), parity[k]) for k in range(len(texts))], "k int, n long, p array<long>")
+    one, two = table.toDF("a", "na", "pa"), table.toDF("b", "nb", "pb")
+    kept = one.join(two, minhash_oph.may_link(percent, one["na"], one["pa"], two["nb"], two["pb"])).select("a", "b").collect()
+    linked = {(a, b) for a, x in enumerate(sets) for b, y in enumerate(sets) if 100 * len(x & y) >= percent * len(x | y)}
+    assert linked <= {tuple(r) for r in kept}
+    assert len(kept) < 1.6 * len(linked)  # and few others pass
+
+
+def test_near_misses_of_a_large_group_make_few_pairs(spark, monkeypatch):
+    rng = random.Random(3)
+    base = [f"word{rng.randrange(10**6)}" for _ in range(150)]
+    rows = []
+    for k in range(400):  # a third of the copies is close enough to others, the rest shares buckets only
+        words = list(base)
+        for at in rng.sample(range(150), rng.choice([2, 10, 13])):
+            words[at] = f"new{rng.randrange(10**6)}"
+        rows.append((k, " ".join(words)))
+    made, store = [], minhash_oph.stored
+
+    def counted(df, name):
+        out = store(df, name)
+        if name == "pairs":
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(minhash_oph, "stored", counted)
+    got = minhash_oph.near_components(docs(spark, rows)).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in got} == brute(rows, 3, 85)
+    assert sum(made) < 3 * len(rows)  # of 79,800 pairs
