@@ -36,7 +36,7 @@ WORDS, PERCENT = 3, 85
 BANDS, BINS_PER_BAND = 60, 8
 BINS = BANDS * BINS_PER_BAND
 #: 64-bit parts of a set's parity bitmap.
-PARITY_PARTS = 8
+PARITY_PARTS = 4
 _CACHED_WORDS = 500_000
 _PROBES = 4096
 
@@ -136,9 +136,9 @@ def parity_bitmaps(row: np.ndarray, hashed: np.ndarray, n_rows: int) -> np.ndarr
     return np.packbits(odd.reshape(n_rows, bits), axis=1).view(np.int64)
 
 
-def may_link(percent: int, n_a: Column, parity_a: Column, n_b: Column, parity_b: Column) -> Column:
+def may_link(percent: int, n_a: Column, parity_a: list[Column], n_b: Column, parity_b: list[Column]) -> Column:
     """False only for sets that cannot be similar enough: too unlike in size, or in too many bits of their bitmaps."""
-    apart = sum((F.bit_count(parity_a[k].bitwiseXOR(parity_b[k])) for k in range(PARITY_PARTS)), F.lit(0))
+    apart = sum((F.bit_count(a.bitwiseXOR(b)) for a, b in zip(parity_a, parity_b)), F.lit(0))
     return (100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)) & ((100 + percent) * apart <= (100 - percent) * (n_a + n_b))
 
 
@@ -240,7 +240,8 @@ def node_components(rows: DataFrame, some: DataFrame, nodes: DataFrame, n_words:
     shared = members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     live = stored(members.join(shared, "bucket").distinct(), "members")
     # the middle of a group meets most
-    about = some.select(F.col("doc_id").alias("node"), "n_shingles", "parity").dropDuplicates(["node"])
+    parts = [f"parity_{k}" for k in range(PARITY_PARTS)]  # plain columns: less to shuffle than an array
+    about = some.select(F.col("doc_id").alias("node"), "n_shingles", *(F.col("parity")[k].alias(p) for k, p in enumerate(parts))).dropDuplicates(["node"])
     labels = stored(live.groupBy("node").agg(F.sum("size").alias("degree")).join(about, "node").withColumn("component", F.col("node")), "labels")
     live = live.select("bucket", "node")
     wanted = labels.select(F.col("node").alias("doc_id"))
@@ -253,17 +254,19 @@ def node_components(rows: DataFrame, some: DataFrame, nodes: DataFrame, n_words:
         several = stored(several.select("bucket"), "open-buckets")  # a plain table, so that the join can split a hot bucket
         live = stored(live.join(several, "bucket", "left_semi"), "members")
         # the small components of a bucket meet the others, so the large one need not
-        known = labels.join(labels.groupBy("component").agg(F.count("*").alias("weight")), "component")
+        known = labels.select("node", "component", "degree").join(labels.groupBy("component").agg(F.count("*").alias("weight")), "component")
         order = Window.partitionBy("bucket").orderBy("weight", F.desc("degree"), "node")
         ranked = live.join(known, "node").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= centers_each)
         center = stored(
-            ranked.select("bucket", F.col("node").alias("center"), F.col("component").alias("of"), F.col("n_shingles").alias("n_center"), F.col("parity").alias("parity_center")),
+            ranked.select("bucket", "node").join(labels, "node").select(
+                "bucket", F.col("node").alias("center"), F.col("component").alias("of"), F.col("n_shingles").alias("n_center"), *(F.col(p).alias(f"{p}_center") for p in parts)
+            ),
             "centers",
         )
         if center.isEmpty():
             break
-        side = live.join(labels.select("node", "component", "n_shingles", "parity"), "node")
-        likely = may_link(percent, F.col("n_shingles"), F.col("parity"), F.col("n_center"), F.col("parity_center"))
+        side = live.join(labels.select("node", "component", "n_shingles", *parts), "node")
+        likely = may_link(percent, F.col("n_shingles"), [F.col(p) for p in parts], F.col("n_center"), [F.col(f"{p}_center") for p in parts])
         met = side.alias("s").join(center.alias("c"), (F.col("s.bucket") == F.col("c.bucket")) & (F.col("component") != F.col("of")) & likely)
         pairs = met.select(F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b")).distinct()
         if tested is not None:

@@ -86,7 +86,9 @@ def test_bitmaps_never_rule_out_a_link(spark, percent):
     parity = minhash_oph.parity_bitmaps(row, hashed, len(texts)).tolist()
     table = spark.createDataFrame([(k, len(sets[k]), parity[k]) for k in range(len(texts))], "k int, n long, p array<long>")
     one, two = table.toDF("a", "na", "pa"), table.toDF("b", "nb", "pb")
-    kept = one.join(two, minhash_oph.may_link(percent, one["na"], one["pa"], two["nb"], two["pb"])).select("a", "b").collect()
+    parts = range(minhash_oph.PARITY_PARTS)
+    likely = minhash_oph.may_link(percent, one["na"], [one["pa"][k] for k in parts], two["nb"], [two["pb"][k] for k in parts])
+    kept = one.join(two, likely).select("a", "b").collect()
     linked = {(a, b) for a, x in enumerate(sets) for b, y in enumerate(sets) if 100 * len(x & y) >= percent * len(x | y)}
     assert linked <= {tuple(r) for r in kept}
     assert len(kept) < 1.6 * len(linked)  # and few others pass
