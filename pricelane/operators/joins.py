@@ -58,15 +58,19 @@ def _wanted_rows(offered: DataFrame, search: DataFrame) -> DataFrame:
 def search_join(search: DataFrame, listing: DataFrame) -> DataFrame:
     """Distinct price pairs of each searched name, or one empty row if it is absent.
 
-    Matches are found by a semi join, never by a join that multiplies rows. The
-    listing is read once: the names that are absent are those without a match,
-    and Spark reuses the shuffle of the matches for them.
+    Pairs are made distinct by the whole row, which deals a placeholder name's pairs over all tasks. Each pair then
+    meets its name at most once, in an inner join that adaptive execution may split at a hot name; a semi join would
+    go below the distinct rows and gather the name in one task. The listing is read once: the names that are
+    absent come from the same shuffle of the distinct pairs.
     """
     offered = listing.select(
         F.col("name").alias("product_name"), "original_price", "promotion_price"
-    )
-    matched = _wanted_rows(offered, search)
-    absent = search.select("product_name").distinct().join(matched.select("product_name"), "product_name", "left_anti")
+    ).where("product_name is not null").distinct()
+    wanted = search.select("product_name").distinct()
+    matched = offered.join(wanted, "product_name")
+    # the count is asked for, as Spark would read the listing again for the bare names
+    seen = offered.groupBy("product_name").agg(F.count("*").alias("n_pairs")).where("n_pairs > 0")
+    absent = wanted.join(seen, "product_name", "left_anti")
     return matched.withColumn("Found", F.lit(True)).unionByName(
         absent.select(
             "product_name",

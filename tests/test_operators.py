@@ -114,6 +114,21 @@ def test_search_join_reads_the_listing_once(spark, tmp_path):
     assert plan(found).split("Initial Plan")[0].count("Scan parquet") == 1
 
 
+def test_search_join_deals_the_pairs_of_a_hot_name(spark):
+    offered = spark.range(900).selectExpr(
+        "if(id % 3 = 0, concat('n', id), 'Unknown') as name", "cast(id as double) as original_price", "id / 2 as promotion_price"
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = joins.search_join(tables.search_names(spark, ["Unknown", "n3", "nothing"]), offered)
+        assert found.groupBy("product_name").count().where("product_name = 'Unknown'").first()["count"] == 600
+        text = plan(found)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    pairs = [line for line in text.splitlines() if "Exchange hashpartitioning" in line and "original_price" in line.split("ENSURE")[0]]
+    assert any(all(c in line for c in ("product_name", "original_price", "promotion_price")) for line in pairs)
+
+
 @pytest.mark.parametrize("threshold", ["10MB", "-1"])
 def test_search_join_both_ways(spark, threshold):
     offered = sightings(spark).select(
