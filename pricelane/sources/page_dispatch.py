@@ -75,10 +75,10 @@ def walk_all(pages: DataFrame) -> DataFrame:
                 rows += tagged(page, html, asked)
                 read += len(html or "")
                 if len(rows) >= shop_pages._ROWS_PER_BATCH or read >= shop_pages._CHARS_PER_BATCH:
-                    yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                    yield shop_pages.batch_of(rows, schema)
                     rows, read = [], 0
         if rows:
-            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+            yield shop_pages.batch_of(rows, schema)
 
     asked = F.lit(True)
     for (retailer, kind), rule in RULES.items():

@@ -72,6 +72,14 @@ def found_in(html: str, rule: Pieces) -> tuple[list[dict], str | None]:
         return [], type(error).__name__
 
 
+def batch_of(rows: list[dict], schema: pa.Schema) -> pa.RecordBatch:
+    """The rows as a batch; fields that no row has are null and cost nothing a row."""
+    held = set().union(*rows)
+    return pa.RecordBatch.from_arrays(
+        [pa.array([row.get(f.name) for row in rows], f.type) if f.name in held else pa.nulls(len(rows), f.type) for f in schema], schema=schema
+    )
+
+
 def walk_pages(pages: DataFrame | WalkedPages, rule: Pieces, keep: dict[str, str] | None = None) -> DataFrame:
     """Rows ``url_no, url, page_no, pos, <fields>`` that a rule finds in each page.
 
@@ -97,10 +105,10 @@ def walk_pages(pages: DataFrame | WalkedPages, rule: Pieces, keep: dict[str, str
                 rows += (page | {"pos": pos} | found for pos, found in enumerate(found_in(html, rule)[0]))
                 read += len(html)
                 if len(rows) >= _ROWS_PER_BATCH or read >= _CHARS_PER_BATCH:
-                    yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                    yield batch_of(rows, schema)
                     rows, read = [], 0
         if rows:
-            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+            yield batch_of(rows, schema)
 
     ddl = ", ".join(f"{n} {k}" for n, k in (kept | {"pos": "int"} | fields).items())
     asked = F.col("html").isNotNull() if rule.page_ok is None else rule.page_ok(F.col("html"))

@@ -37,6 +37,24 @@ def test_both_readers_agree(pieces):
     assert shape(HtmlTree(html)) == shape(Standard(html))
 
 
+def test_tags_that_were_read_before_read_the_same():
+    from pricelane.sources import html_tree
+
+    html = '<div class="a b"><p x="1>2">t</p><br/><i/><title>x</title><b c=\'d\'></div>e<p hidden>'
+    html_tree._KNOWN_TAGS.clear()
+    first = shape(HtmlTree(html))
+    assert '<div class="a b">' in html_tree._KNOWN_TAGS and '<p x="1>' not in html_tree._KNOWN_TAGS
+    assert shape(HtmlTree(html)) == first == shape(Standard(html))
+
+
+def test_known_tags_are_bounded():
+    from pricelane.sources import html_tree
+
+    HtmlTree("".join(f"<i x={n}></i>" for n in range(html_tree._KNOWN_COUNT + 10)) + f'<b y="{"z" * 400}">')
+    assert len(html_tree._KNOWN_TAGS) <= html_tree._KNOWN_COUNT
+    assert all(len(raw) <= html_tree._KNOWN_LENGTH for raw in html_tree._KNOWN_TAGS)
+
+
 def test_texts_skip_scripts_and_split_at_comments():
     tree = HtmlTree("<body>a<!-- x -->b<script>c</script><style>d</style> <p> e </p></body>")
     assert tree.stripped(tree.root) == ["a", "b", "e"]
