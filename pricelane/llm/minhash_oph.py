@@ -37,6 +37,8 @@ BANDS, BINS_PER_BAND = 60, 8
 BINS = BANDS * BINS_PER_BAND
 #: 64-bit parts of a set's parity bitmap.
 PARITY_PARTS = 4
+#: Nodes whose keys are broadcast to the texts, 50 MB or so; beyond that the texts are shuffled to them.
+BROADCAST_NODES = 2_000_000
 _CACHED_WORDS = 500_000
 _PROBES = 4096
 
@@ -175,6 +177,14 @@ def full_sets(rows: DataFrame, n_words: int) -> DataFrame:
     return map_slices(rows, work, f"node {kind}, shingles array<long>")
 
 
+def sets_of(rows: DataFrame, nodes: DataFrame, n_words: int) -> DataFrame:
+    """``full_sets`` of the rows whose key is a ``node`` of a stored table, once each."""
+    wanted = nodes.select(F.col("node").alias("doc_id"))
+    if wanted.limit(BROADCAST_NODES + 1).count() <= BROADCAST_NODES:
+        wanted = F.broadcast(wanted)
+    return full_sets(rows.join(wanted, "doc_id", "left_semi"), n_words).dropDuplicates(["node"])
+
+
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """``node, component`` (its least node) of the nodes of edges ``a, b``: least labels with jumps."""
     both = stored(edges.select("a", "b").union(edges.select("b", "a")).distinct(), f"{label}-edges")
@@ -244,8 +254,7 @@ def node_components(rows: DataFrame, some: DataFrame, nodes: DataFrame, n_words:
     about = some.select(F.col("doc_id").alias("node"), "n_shingles", *(F.col("parity")[k].alias(p) for k, p in enumerate(parts))).dropDuplicates(["node"])
     labels = stored(live.groupBy("node").agg(F.sum("size").alias("degree")).join(about, "node").withColumn("component", F.col("node")), "labels")
     live = live.select("bucket", "node")
-    wanted = labels.select(F.col("node").alias("doc_id"))
-    sets = stored(full_sets(rows.join(wanted, "doc_id", "left_semi"), n_words).dropDuplicates(["node"]), "shingle-sets")
+    sets = stored(sets_of(rows, labels, n_words), "shingle-sets")
     links = tested = None
     centers_each = 1
     while True:

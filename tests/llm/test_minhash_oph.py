@@ -115,3 +115,16 @@ def test_near_misses_of_a_large_group_make_few_pairs(spark, monkeypatch):
     got = minhash_oph.near_components(docs(spark, rows)).collect()
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in got} == brute(rows, 3, 85)
     assert sum(made) < 3 * len(rows)  # of 79,800 pairs
+
+
+def test_texts_stay_in_place_while_the_nodes_are_few(spark, monkeypatch):
+    rows, nodes = docs(spark, [(k, f"a b c d {k}") for k in range(20)]), docs(spark, [(k, "") for k in range(5)]).selectExpr("doc_id as node")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for most, joined in ((10, "BroadcastHashJoin"), (3, "SortMergeJoin")):
+            monkeypatch.setattr(minhash_oph, "BROADCAST_NODES", most)
+            sets = minhash_oph.sets_of(rows, nodes, 3)
+            assert joined in sets._jdf.queryExecution().executedPlan().toString()
+            assert sorted(r["node"] for r in sets.collect()) == [0, 1, 2, 3, 4]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
