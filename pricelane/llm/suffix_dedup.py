@@ -197,19 +197,24 @@ def packed_entries(rows: DataFrame, n_buckets: int) -> DataFrame:
     return rows.mapInArrow(run, "bucket long, blob binary")
 
 
-SETTLED = pa.schema([("doc_id", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("place", pa.int32()), ("seed", pa.int64())])
+SETTLED = pa.schema([("doc_id", pa.int64()), ("first", pa.int32()), ("more", pa.int32()), ("place", pa.int32()), ("seed", pa.int64())])
 
 
 def settled(packed: DataFrame) -> DataFrame:
-    """``doc_id, first, last, place, seed``: strings to remove (seed null), and open positions with their seed."""
+    """``doc_id, first, more, place, seed``: strings to remove (place and seed null), and open positions with their seed.
+
+    The strings start from ``first`` to ``first + more``, a step that takes few bits to store.
+    """
 
     def rows_of(entries: np.ndarray, is_open: bool) -> pa.RecordBatch:
         place = entries["place"].astype(np.int64)
-        first = place - entries["before"]
-        last = first + entries["more"]
-        seed = pa.array(entries["seed"].view(np.int64)) if is_open else pa.nulls(len(entries), pa.int64())
+        first = (place - entries["before"]).astype(np.int32)
+        if is_open:
+            where = pa.array(place.astype(np.int32)), pa.array(entries["seed"].view(np.int64))
+        else:
+            where = pa.nulls(len(entries), pa.int32()), pa.nulls(len(entries), pa.int64())
         return pa.RecordBatch.from_arrays(
-            [pa.array(entries["doc"]), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32)), pa.array(place.astype(np.int32)), seed], schema=SETTLED
+            [pa.array(entries["doc"]), pa.array(first), pa.array(entries["more"].astype(np.int32)), *where], schema=SETTLED
         )
 
     def finish(bucket: int, blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
@@ -234,11 +239,14 @@ def settled(packed: DataFrame) -> DataFrame:
             yield from finish(current, blobs)
 
     dealt = packed.repartition("bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(run, "doc_id long, first int, last int, place int, seed long")
+    return dealt.mapInArrow(run, "doc_id long, first int, more int, place int, seed long")
 
 
 def open_contexts(rows: DataFrame, open_places: DataFrame) -> DataFrame:
-    """``seed, doc_id, place, first, last, around``: the bytes around open positions, zeros beyond the text."""
+    """``seed, doc_id, place, first, last, around``: the bytes around open positions, zeros beyond the text.
+
+    ``rows`` has ``__key, text``.
+    """
     wanted = open_places.groupBy("doc_id").agg(F.collect_list(F.struct("seed", "place", "first", "last")).alias("open"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,7 +260,7 @@ def open_contexts(rows: DataFrame, open_places: DataFrame) -> DataFrame:
                 names = ["seed", "doc_id", "place", "first", "last", "around"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
 
-    joined = rows.join(wanted, "doc_id").select("doc_id", "text", "open")
+    joined = rows.join(wanted, F.col("__key") == F.col("doc_id")).select("doc_id", "text", "open")
     return joined.mapInArrow(run, "seed long, doc_id long, place int, first int, last int, around binary")
 
 
@@ -314,8 +322,10 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_buckets = max(32, math.ceil(size / BUCKET_BYTES))
-    found = stored(settled(packed_entries(rows.where("doc_id is not null"), n_buckets)), "repeats")
-    again = open_repeats(open_contexts(rows, found.where("seed is not null")), n_buckets)
+    found = stored(settled(packed_entries(rows.where("doc_id is not null"), n_buckets)), "repeats").withColumn("last", F.col("first") + F.col("more"))
+    # both joins take the same rows, under a name of their own that the optimizer keeps in both, so that their texts are shuffled once
+    keyed = rows.where("doc_id is not null").withColumnRenamed("doc_id", "__key")
+    again = open_repeats(open_contexts(keyed, found.where("seed is not null")), n_buckets)
     gone = found.where("seed is null").select("doc_id", "first", "last").union(again)
     by_doc = gone.groupBy("doc_id").agg(F.collect_list(F.struct("first", "last")).alias("gone"))  # no longer than the text
 
@@ -338,7 +348,9 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
                 names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
 
-    return rows.join(by_doc, "doc_id", "left").select("doc_id", "text", "gone").mapInArrow(
+    joined = keyed.join(by_doc, F.col("__key") == F.col("doc_id"), "left").select(F.col("__key").alias("doc_id"), "text", "gone")
+    nothing = F.lit(None).cast(joined.schema["gone"].dataType)
+    return joined.union(rows.where("doc_id is null").select("doc_id", "text", nothing)).mapInArrow(
         run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
     )
 

@@ -81,3 +81,18 @@ def test_buckets_have_equal_weight():
 def test_keys_without_an_order_of_numbers_are_refused(spark):
     with pytest.raises(ValueError, match="string"):
         suffix_dedup.remove_repeats(spark.createDataFrame([("a", "text")], "doc_id string, text string"))
+
+
+def test_texts_are_shuffled_once(spark, tmp_path):
+    rng = random.Random(5)
+    shared = "".join(rng.choice("abcdefgh") for _ in range(200))
+    rows = [(k, f"{k:02}" * 40 + shared + f"{k:02}" * 40) for k in range(30)]  # surroundings differ at both ends
+    docs(spark, rows).write.parquet(str(tmp_path / "docs"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        removed = suffix_dedup.remove_repeats(spark.read.parquet(str(tmp_path / "docs")))
+        assert removed.count() == 30 and len(removed.collect()) == 30
+        plan = removed._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("ReusedExchange") == 1
