@@ -138,8 +138,10 @@ def _catalogue_pages(rows: DataFrame, card: Column) -> DataFrame:
     """Result pages of 50 cards each, in ``seq`` order."""
     page_no = F.floor(F.col("seq") / CARDS_PER_PAGE).cast("int")
     cards = F.array_sort(F.collect_list(F.struct("seq", "card")))
+    # markup is many times as large as the rows it is built from, so small tables are spread before
+    dealt = spread_small(rows.withColumn("page_no", page_no), "page_no")
     return (
-        rows.select(page_no.alias("page_no"), "seq", card.alias("card"))
+        dealt.select("page_no", "seq", card.alias("card"))
         .groupBy("page_no")
         .agg(F.array_join(F.transform(cards, lambda c: c["card"]), "\n").alias("cards"))
         .select(
@@ -152,7 +154,7 @@ def _catalogue_pages(rows: DataFrame, card: Column) -> DataFrame:
 
 
 def _product_pages(rows: DataFrame, body: Column) -> DataFrame:
-    return rows.select(
+    return spread_small(rows, "seq").select(
         F.col("seq").cast("int").alias("url_no"),
         _join("https://shop.example/p/", F.col("seq").cast("string")).alias("url"),
         F.lit(1).alias("page_no"),
