@@ -59,8 +59,8 @@ def search_join(search: DataFrame, listing: DataFrame) -> DataFrame:
     """Distinct price pairs of each searched name, or one empty row if it is absent.
 
     Pairs are made distinct by the whole row, which deals a placeholder name's pairs over all tasks. Each pair then
-    meets its name at most once, in an inner join that adaptive execution may split at a hot name; a semi join would
-    go below the distinct rows and gather the name in one task. The listing is read once: the names that are
+    meets its name at most once, in an inner join that adaptive execution may split at a hot name; with a semi join
+    large runs gathered the name in one task. The listing is read once: the names that are
     absent come from the same shuffle of the distinct pairs.
     """
     offered = listing.select(
