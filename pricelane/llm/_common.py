@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from pricelane.session import scratch_path, stored
 
-__all__ = ["documents", "keyed_text", "map_slices", "native_words", "scratch_path", "stored", "table", "worker_cache"]
+__all__ = ["documents", "give_back", "keyed_text", "map_slices", "native_words", "scratch_path", "stored", "table", "tidy", "worker_cache"]
 
 #: Text that one call of a task function sees at once; a longer row comes alone.
 SLICE_BYTES = 2_000_000
@@ -37,12 +38,12 @@ def native_words(text: Column) -> Column:
     return F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
 
 
-def slices(batch: pa.RecordBatch, limit: int = SLICE_BYTES, text: str = "text") -> Iterator[pa.RecordBatch]:
-    """Runs of rows that stay below ``limit`` bytes of the ``text`` column, one row at least."""
+def slices(batch: pa.RecordBatch, limit: int = SLICE_BYTES, text: str = "text", most_rows: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Runs of rows that stay below ``limit`` bytes of the ``text`` column, one row at least, and ``most_rows`` at most."""
     lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist()
     start = size = 0
     for at, length in enumerate(lengths):
-        if size + length > limit and at > start:
+        if at > start and (size + length > limit or at - start == most_rows):
             yield batch.slice(start, at - start)
             start, size = at, 0
         size += length
@@ -50,7 +51,29 @@ def slices(batch: pa.RecordBatch, limit: int = SLICE_BYTES, text: str = "text")
         yield batch.slice(start)
 
 
-def map_slices(df: DataFrame, work: Callable[[pa.RecordBatch], dict], schema: str, limit: int = SLICE_BYTES) -> DataFrame:
+def give_back() -> None:
+    """What this process has freed goes back to the system; idle workers would hold it through later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the C library's, if it has one
+    if trim is not None:
+        trim(0)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The task function ``run``, which gives free memory back when its task ends."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return whole
+
+
+def map_slices(
+    df: DataFrame, work: Callable[[pa.RecordBatch], dict], schema: str, limit: int = SLICE_BYTES, most_rows: int | None = None
+) -> DataFrame:
     """``mapInArrow`` over bounded slices; ``work`` returns the output columns as lists or arrays."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
@@ -59,14 +82,14 @@ def map_slices(df: DataFrame, work: Callable[[pa.RecordBatch], dict], schema: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in slices(batch, limit):
+            for piece in slices(batch, limit, most_rows=most_rows):
                 columns = work(piece)
                 yield pa.RecordBatch.from_arrays(
                     [c.cast(f.type) if isinstance(c := columns[f.name], pa.Array) else pa.array(c, f.type) for f in arrow],
                     schema=arrow,
                 )
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy(run), schema)
 
 
 def worker_cache(owner: str) -> dict:
@@ -79,4 +102,5 @@ def worker_cache(owner: str) -> dict:
     kept = module.__dict__.setdefault("kept", {})
     if owner not in kept:
         kept.clear()
+        give_back()
     return kept.setdefault(owner, {})

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from collections.abc import Callable
 from itertools import islice
 
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelane.llm._common import documents, keyed_text, map_slices, worker_cache
+from pricelane.llm._common import documents, keyed_text, map_slices, tidy, worker_cache
 
 #: Characters that decide about a cut, and the average number of characters between cuts.
 WINDOW, AVERAGE = 16, 2048
@@ -124,7 +125,7 @@ class Codec:
         """(ids, first borders, last borders) of a chunk, encoded once while it stays in the cache."""
         found = self.young.get(text) or self.old.get(text)
         if found is None:
-            found = (self.plain(text), first_borders(text, 0, len(text)), last_borders(text))
+            found = (array("i", self.plain(text)), first_borders(text, 0, len(text)), last_borders(text))  # 4 bytes an id, not 40
             self.encoded += 1
         else:
             self.reused += 1
@@ -133,7 +134,7 @@ class Codec:
             if self.room < 0:
                 self.old, self.young, self.room = self.young, {}, CACHE_CHARS
             self.young[text] = found
-        return found
+        return found[0].tolist(), *found[1:]
 
     def covering(self, ids: list[int], size: int, last: bool = False) -> int:
         """How many ids at the front (or end) stand for exactly ``size`` bytes; 0 if no border is there."""
@@ -151,7 +152,6 @@ class Codec:
             return []
         done = chunks[0]  # the text whose ids end ``ids`` and may change at the next join
         ids, _, borders = self.chunk(done)
-        ids = list(ids)
         for text in chunks[1:]:
             own, own_first, own_last = self.chunk(text)
             for reach in (2, 3, 4):
@@ -229,7 +229,7 @@ def decode_documents(encoded: DataFrame, tokenizer: str | None = None) -> DataFr
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("ids"), pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
 
     rows = encoded.select("doc_id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
-    return rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, ids array<int>, text string")
+    return rows.mapInArrow(tidy(run), f"doc_id {dict(rows.dtypes)['doc_id']}, ids array<int>, text string")
 
 
 def op4_bpe_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:

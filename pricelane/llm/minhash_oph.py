@@ -41,6 +41,8 @@ PARITY_PARTS = 4
 BROADCAST_NODES = 2_000_000
 _CACHED_WORDS = 500_000
 _PROBES = 4096
+#: Text and rows that are sketched at once; a row takes some 30 bytes a bin meanwhile, a byte of text some 40.
+_SLICE_BYTES, _SLICE_ROWS = 1_000_000, 500
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -97,8 +99,10 @@ def probing() -> np.ndarray:
     """For each attempt and empty bin, the bin to look at; the same for all texts."""
     kept = worker_cache("minhash")
     if "probes" not in kept:
-        seeds = np.arange(_PROBES * BINS, dtype=np.uint64).reshape(_PROBES, BINS)
-        kept["probes"] = (mixed(seeds * _STEP + np.uint64(7)) >> np.uint64(32)).astype(np.int64) % BINS
+        probes = kept["probes"] = np.empty((_PROBES, BINS), np.int16)
+        for start in range(0, _PROBES, 256):  # a part at a time, as 64-bit numbers take some room
+            seeds = np.arange(start * BINS, (start + 256) * BINS, dtype=np.uint64).reshape(256, BINS)
+            probes[start : start + 256] = (mixed(seeds * _STEP + np.uint64(7)) >> np.uint64(32)) % np.uint64(BINS)
     return kept["probes"]
 
 
@@ -162,7 +166,7 @@ def sketches(rows: DataFrame, n_words: int) -> DataFrame:
             "bands": pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * BANDS), pa.array(bands.ravel())),
         }
 
-    return map_slices(rows, work, f"doc_id {kind}, n_shingles long, f1 long, f2 long, parity array<long>, bands array<long>")
+    return map_slices(rows, work, f"doc_id {kind}, n_shingles long, f1 long, f2 long, parity array<long>, bands array<long>", _SLICE_BYTES, _SLICE_ROWS)
 
 
 def full_sets(rows: DataFrame, n_words: int) -> DataFrame:
@@ -174,7 +178,7 @@ def full_sets(rows: DataFrame, n_words: int) -> DataFrame:
         edges = np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32)
         return {"node": batch.column("doc_id"), "shingles": pa.ListArray.from_arrays(pa.array(edges), pa.array(hashed.astype(np.int64)))}
 
-    return map_slices(rows, work, f"node {kind}, shingles array<long>")
+    return map_slices(rows, work, f"node {kind}, shingles array<long>", _SLICE_BYTES)
 
 
 def sets_of(rows: DataFrame, nodes: DataFrame, n_words: int) -> DataFrame:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelane.llm._common import documents, keyed_text, map_slices, slices
+from pricelane.llm._common import documents, keyed_text, map_slices, slices, tidy
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("", *KINDS)
@@ -371,7 +371,7 @@ def redact(df: DataFrame, field: Field | None, text: str = "text", n_chars: str
                 batch = batch.set_column(at, batch.schema.field(at), pa.array(values, batch.schema.field(at).type))
             yield batch
 
-    return df.mapInArrow(run, df.schema)
+    return df.mapInArrow(tidy(run), df.schema)
 
 
 def joined(spans: Column) -> Column:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelane.llm._common import documents, keyed_text, map_slices, slices, stored, table, worker_cache
+from pricelane.llm._common import documents, keyed_text, map_slices, slices, stored, table, tidy, worker_cache
 
 #: Labelled rows of each kind that the fit sees, about; rows are chosen by the hash of their key.
 SAMPLE_ROWS = 3000
@@ -196,7 +196,7 @@ def train(docs: DataFrame, labels: DataFrame, rows_of_each: int = SAMPLE_ROWS) -
         for batch in batches:
             yield pa.RecordBatch.from_pydict(work(batch))
 
-    sample = rows.mapInArrow(run, "toxic int, features array<long>").toArrow()
+    sample = rows.mapInArrow(tidy(run), "toxic int, features array<long>").toArrow()
     toxic = np.array(sample.column("toxic").to_pylist(), bool)
     features = [np.asarray(f, np.int64) for f in sample.column("features").to_pylist()]
     order = np.lexsort(([zlib.crc32(f.tobytes()) for f in features], toxic))  # not the order of arrival
@@ -256,7 +256,7 @@ def without_toxic(df: DataFrame, model: OrdinalModel, text: str = "text", toxic_
             if clean.any():
                 yield piece.filter(pa.array(clean))
 
-    return df.mapInArrow(run, df.schema)
+    return df.mapInArrow(tidy(run), df.schema)
 
 
 def op2_toxicity_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
