@@ -97,8 +97,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def listing(spark: SparkSession, folder: str) -> DataFrame:
+def listing(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame:
+    """The columns of ``LISTING``; with ``spread`` they are made on all cores, small as the table may be."""
     part = table(spark, folder, "part")
+    if spread:
+        part = spread_small(part, "p_partkey")
     return part.selectExpr(*(f"{e} as {n}" for n, e in LISTING.items()))
 
 
@@ -154,7 +157,7 @@ def _catalogue_pages(rows: DataFrame, card: Column) -> DataFrame:
 
 
 def _product_pages(rows: DataFrame, body: Column) -> DataFrame:
-    return spread_small(rows, "seq").select(
+    return rows.select(
         F.col("seq").cast("int").alias("url_no"),
         _join("https://shop.example/p/", F.col("seq").cast("string")).alias("url"),
         F.lit(1).alias("page_no"),
@@ -202,7 +205,7 @@ def details_7e(spark: SparkSession, folder: str) -> DataFrame:
         _opt('<p class="big currentPrice">', "promotion_text", "</p>"),
         _opt("<strike>", "original_text", "</strike>"),
     )
-    return _product_pages(listing(spark, folder), body)
+    return _product_pages(listing(spark, folder, spread=True), body)
 
 
 def cards_makro(spark: SparkSession, folder: str, name: str = "name") -> DataFrame:
@@ -242,7 +245,7 @@ def details_makro(spark: SparkSession, folder: str) -> DataFrame:
             )
         ),
     )
-    return _product_pages(listing(spark, folder), body)
+    return _product_pages(listing(spark, folder, spread=True), body)
 
 
 def cards_bigc(spark: SparkSession, folder: str) -> DataFrame:
@@ -278,7 +281,7 @@ def details_bigc(spark: SparkSession, folder: str) -> DataFrame:
         ),
         "</div>",
     )
-    return _product_pages(listing(spark, folder), body)
+    return _product_pages(listing(spark, folder, spread=True), body)
 
 
 def details_bigc_by_id(spark: SparkSession, folder: str) -> DataFrame:
@@ -293,7 +296,7 @@ def details_bigc_by_id(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("seq") % 2 == 0, "/b/1").otherwise("https://cdn.example/b/2"),
         '"></div>',
     )
-    return _product_pages(listing(spark, folder), body)
+    return _product_pages(listing(spark, folder, spread=True), body)
 
 
 def badge_texts(spark: SparkSession, folder: str) -> DataFrame:
@@ -329,7 +332,7 @@ def details_lotus(spark: SparkSession, folder: str) -> DataFrame:
             _every(3, 1, '<div class="mui-style-abwb4l"><b>Save</b><b>20</b></div>'),
         )
     )
-    return _product_pages(listing(spark, folder), body)
+    return _product_pages(listing(spark, folder, spread=True), body)
 
 
 def cards_tops(spark: SparkSession, folder: str) -> DataFrame:
@@ -353,7 +356,7 @@ def details_tops(spark: SparkSession, folder: str) -> DataFrame:
         _opt('<span class="hidden lg:inline">', "original_text", "</span>"),
         _every(2, 0, '<div class="mt-2 text-sm text-textsecondary">2 for <b>99</b></div>'),
     )
-    return _product_pages(listing(spark, folder), body)
+    return _product_pages(listing(spark, folder, spread=True), body)
 
 
 def cards_go(spark: SparkSession, folder: str) -> DataFrame:
@@ -420,9 +423,9 @@ def driver_pages(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def price_rows(spark: SparkSession, folder: str) -> DataFrame:
+def price_rows(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame:
     """The listing with prices read from its texts."""
-    return listing(spark, folder).select(
+    return listing(spark, folder, spread).select(
         "seq",
         "name",
         "family_name",

@@ -950,7 +950,7 @@ def dated_run_roundtrip(spark, folder):
     """Three tables of a run, published again over an earlier run, beside another shop's and a killed one."""
     root, shop = scratch_path(spark, "runs"), "Makro, big & small"
     made = makro_tables(spark, folder, keep=True)
-    rows = price_rows(spark, folder)
+    rows = price_rows(spark, folder, spread=True)  # their names are parsed in the write
     earlier = {k: df.limit(3) for k, df in made.items()} | {"found_late": rows.select("name")}
     run_store.publish(spark, root, [run_store.Run(shop, RUN_DATE, earlier)])
     bigc = run_store.Run("BigC", RUN_DATE, {"listing": cleaning.standardize(rows, "bigc", RUN_DATE)})
